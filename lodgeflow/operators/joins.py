@@ -1,0 +1,25 @@
+"""Join helpers: broadcast only what is proven small."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+# Rows a side may have and still be shipped to every executor.  Dimension and
+# dictionary rows are narrow, so 1M rows stays far below executor memory.
+DEFAULT_BROADCAST_ROWS = 1_000_000
+
+
+def fits_broadcast(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS) -> bool:
+    """True when ``df`` has at most ``max_rows`` rows.
+
+    The check reads at most ``max_rows + 1`` rows (a bounded job), so it is
+    safe to run on a side that turns out to be huge.
+    """
+    return df.limit(max_rows + 1).count() <= max_rows
+
+
+def maybe_broadcast(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
+    """``broadcast(df)`` behind a size check; otherwise the plain side, so the
+    planner falls back to a shuffle join (and AQE may still demote it)."""
+    return F.broadcast(df) if fits_broadcast(df, max_rows) else df
