@@ -17,7 +17,7 @@ from lodgeflow.sinks.tables import overwrite
 from lodgeflow.sources.api import (CURRENCY_SCHEMA, WEATHER_SCHEMA, currency_rows, read_payloads,
                                    weather_rows)
 from lodgeflow.sources.files import add_load_metadata, read_csv
-from lodgeflow.streaming.ingest import ingest_events, read_event_stream
+from lodgeflow.streaming.ingest import ingest_events, read_event_stream, read_table_stream
 
 
 @dataclass
@@ -53,8 +53,7 @@ def run_all_stages(spark: SparkSession, csv_path: str, weather_json: str | None,
     # 4. stream silver
     if events_json:
         ingest_events(spark, events_json, t.hotel_raw_stream, t.ckpt_raw_stream)
-        stream = spark.readStream.schema(spark.read.parquet(t.hotel_raw_stream).schema) \
-            .parquet(t.hotel_raw_stream)
+        stream = read_table_stream(spark, t.hotel_raw_stream)
         stream_to_silver(stream, t.silver_hotel_bookings, t.ckpt_silver_upsert,
                          rate_table_loader=lambda: load(t.raw_currency_api),
                          weather_table_loader=lambda: load(t.raw_weather_api))

@@ -55,9 +55,16 @@ def align_to(df: DataFrame, target: DataFrame) -> DataFrame:
     return df.select(*cols)
 
 
+def key_range(df: DataFrame, key: str):
+    """(min, max) of a key column in one small aggregate; None when empty."""
+    r = df.agg(F.min(key).alias("lo"), F.max(key).alias("hi")).first()
+    return None if r["lo"] is None else (r["lo"], r["hi"])
+
+
 def insert_new_rows(batch: DataFrame, target: str, keys: str | Sequence[str], load_id: str,
                     order_by: Sequence[Column] | None = None,
-                    max_broadcast_rows: int = DEFAULT_BROADCAST_ROWS) -> None:
+                    max_broadcast_rows: int = DEFAULT_BROADCAST_ROWS,
+                    prune_by_key_range: bool = True) -> None:
     spark = batch.sparkSession
     keys = [keys] if isinstance(keys, str) else list(keys)
     fresh = dedup_by_key(batch, keys, order_by).persist(StorageLevel.MEMORY_AND_DISK)
@@ -66,6 +73,14 @@ def insert_new_rows(batch: DataFrame, target: str, keys: str | Sequence[str], lo
         if current is not None:
             # only the key columns of the target are read (column pruning)
             target_keys = current.where(F.col(LOAD_COL) != F.lit(load_id)).select(*keys)
+            if prune_by_key_range and len(keys) == 1:
+                # exact: a target key outside the batch's key range cannot match.
+                # The range reaches the parquet scan, so row groups whose
+                # min/max lie outside it are skipped (ids that grow over time
+                # make old files drop out of every micro-batch's scan).
+                rng = key_range(fresh, keys[0])
+                if rng is not None:
+                    target_keys = target_keys.where(F.col(keys[0]).between(F.lit(rng[0]), F.lit(rng[1])))
             batch_keys = maybe_broadcast(fresh.select(*keys), max_broadcast_rows)
             # keys of this batch that already exist: the big side is never shuffled
             # when the batch is small, and the result is no larger than the batch
@@ -94,13 +109,17 @@ def stream_identity(spark: SparkSession, checkpoint: str) -> str:
 def start_upsert(stream: DataFrame, target: str, checkpoint: str, keys: str | Sequence[str],
                  transform: Callable[[DataFrame], DataFrame] | None = None,
                  order_by: Sequence[Column] | None = None,
-                 available_now: bool = True) -> StreamingQuery:
+                 available_now: bool = True, batch_view: str | None = "updates") -> StreamingQuery:
     """Start the upsert.  ``transform`` runs on each micro-batch as a static
-    DataFrame (for example enrichment that re-reads reference tables)."""
+    DataFrame (for example enrichment that re-reads reference tables).  The
+    micro-batch is also registered as temporary view ``batch_view`` so SQL
+    run from ``transform`` can refer to it."""
     spark = stream.sparkSession
     sid = stream_identity(spark, checkpoint)
 
     def each_batch(batch: DataFrame, batch_id: int) -> None:
+        if batch_view:
+            batch.createOrReplaceTempView(batch_view)
         df = transform(batch) if transform else batch
         insert_new_rows(df, target, keys, f"{sid}-{batch_id:012d}", order_by)
 
@@ -112,9 +131,9 @@ def start_upsert(stream: DataFrame, target: str, checkpoint: str, keys: str | Se
 
 def run_upsert(stream: DataFrame, target: str, checkpoint: str, keys: str | Sequence[str],
                transform: Callable[[DataFrame], DataFrame] | None = None,
-               order_by: Sequence[Column] | None = None) -> None:
+               order_by: Sequence[Column] | None = None, batch_view: str | None = "updates") -> None:
     """Drain the stream into the target and wait for it to finish."""
-    q = start_upsert(stream, target, checkpoint, keys, transform, order_by)
+    q = start_upsert(stream, target, checkpoint, keys, transform, order_by, batch_view=batch_view)
     q.awaitTermination()
     if q.exception():
         raise q.exception()
