@@ -28,12 +28,39 @@ DEFAULT_CONF = {
 }
 
 
+# Settings for a large cluster (~1000 executors, inputs of ~100 TB).  Input
+# splits of 256 MB; many shuffle partitions that AQE coalesces towards 256 MB
+# each (so a stage neither spills nor produces tiny tasks); skewed partitions
+# over 1 GB (5x the median) are split; joins switch to broadcast at run time
+# only below 64 MB of actual shuffle output.
+CLUSTER_CONF = {
+    "spark.sql.files.maxPartitionBytes": str(256 * 1024 * 1024),
+    "spark.sql.shuffle.partitions": "20000",
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(256 * 1024 * 1024),
+    "spark.sql.adaptive.coalescePartitions.parallelismFirst": "false",
+    "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "5",
+    "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": str(1024 * 1024 * 1024),
+    "spark.sql.adaptive.autoBroadcastJoinThreshold": str(64 * 1024 * 1024),
+    "spark.sql.autoBroadcastJoinThreshold": str(64 * 1024 * 1024),
+}
+
+
+def shuffle_partitions_for(input_bytes: int, partition_bytes: int = 256 * 1024 * 1024,
+                           minimum: int = 200) -> int:
+    """Shuffle partitions so that one partition holds ~``partition_bytes`` of
+    shuffled data (AQE coalesces further when a stage shrinks)."""
+    return max(minimum, -(-int(input_bytes) // partition_bytes))
+
+
 def get_session(master: str | None = None, app_name: str = "lodgeflow",
-                shuffle_partitions: int | None = None, extra: dict | None = None) -> SparkSession:
+                shuffle_partitions: int | None = None, extra: dict | None = None,
+                cluster: bool = False) -> SparkSession:
     builder = SparkSession.builder.appName(app_name)
     if master:
         builder = builder.master(master)
     conf = dict(DEFAULT_CONF)
+    if cluster:
+        conf.update(CLUSTER_CONF)
     if shuffle_partitions:
         conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
     conf.update(extra or {})

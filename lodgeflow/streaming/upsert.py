@@ -29,7 +29,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from lodgeflow.operators.dedup import dedup_by_key
-from lodgeflow.operators.joins import DEFAULT_BROADCAST_ROWS, maybe_broadcast
+from lodgeflow.operators.joins import DEFAULT_BROADCAST_ROWS, fits_broadcast
 
 LOAD_COL = "_load_id"
 
@@ -81,11 +81,13 @@ def insert_new_rows(batch: DataFrame, target: str, keys: str | Sequence[str], lo
                 rng = key_range(fresh, keys[0])
                 if rng is not None:
                     target_keys = target_keys.where(F.col(keys[0]).between(F.lit(rng[0]), F.lit(rng[1])))
-            batch_keys = maybe_broadcast(fresh.select(*keys), max_broadcast_rows)
+            small = fits_broadcast(fresh, max_broadcast_rows)
+            batch_keys = fresh.select(*keys)
             # keys of this batch that already exist: the big side is never shuffled
             # when the batch is small, and the result is no larger than the batch
-            hit = target_keys.join(batch_keys, keys, "left_semi").distinct()
-            out = align_to(fresh.join(hit, keys, "left_anti"), current)
+            hit = target_keys.join(F.broadcast(batch_keys) if small else batch_keys,
+                                   keys, "left_semi").distinct()
+            out = align_to(fresh.join(F.broadcast(hit) if small else hit, keys, "left_anti"), current)
         else:
             out = fresh
         (out.withColumn(LOAD_COL, F.lit(load_id))
