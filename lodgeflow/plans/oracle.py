@@ -74,12 +74,12 @@ kpi AS (
 
 ORACLE_SQL: dict[str, str] = {}
 
-ORACLE_SQL["bronze_csv_ingest"] = """
+ORACLE_SQL["bronze_csv_ingest"] = f"""
 SELECT CAST(p_partkey AS VARCHAR) AS p_partkey, p_name, p_brand, p_type,
        CAST(p_size AS VARCHAR) AS p_size, CAST(p_retailprice AS VARCHAR) AS p_retailprice,
        p_name || ', "' || p_brand || '"' || chr(10) || p_type AS p_notes,
        CASE WHEN p_type <> 'ECONOMY' THEN p_type END AS p_type_opt,
-       'Kaggle_Batch' AS source_bron
+       '{K.BATCH_SOURCE_NAME}' AS source_bron
 FROM part"""
 
 ORACLE_SQL["bronze_json_payload"] = """
@@ -97,8 +97,8 @@ FROM events"""
 
 ORACLE_SQL["bronze_stream_ingest"] = "SELECT * FROM events"
 
-ORACLE_SQL["ingest_summary"] = """
-SELECT count(*) AS row_count, 8 AS column_count, 'Kaggle_Batch' AS source FROM part"""
+ORACLE_SQL["ingest_summary"] = f"""
+SELECT count(*) AS row_count, 8 AS column_count, '{K.BATCH_SOURCE_NAME}' AS source FROM part"""
 
 _PROFILE_COLS = ["o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice", "o_orderdate", "o_orderpriority"]
 ORACLE_SQL["profile_nulls"] = f"""
