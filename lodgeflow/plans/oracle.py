@@ -72,6 +72,9 @@ kpi AS (
   FROM fact GROUP BY hotel_name)"""
 
 
+_LI_RULE = ("l_orderkey % 17 <> 0 AND l_extendedprice > 0 AND l_quantity - 5 > 0 "
+            "AND l_linenumber BETWEEN 1 AND 5 AND l_discount > 0")
+
 ORACLE_SQL: dict[str, str] = {}
 
 ORACLE_SQL["bronze_csv_ingest"] = f"""
@@ -122,6 +125,26 @@ c AS (
 
 ORACLE_SQL["dedup_by_key"] = LINEITEM_DEDUP
 
+ORACLE_SQL["dedup_any_keys"] = "SELECT DISTINCT l_orderkey FROM lineitem"
+
+ORACLE_SQL["dedup_report"] = f"""
+WITH a AS (
+  SELECT count(*) AS rows_before,
+         count(DISTINCT l_orderkey) + coalesce(max(CASE WHEN l_orderkey IS NULL THEN 1 ELSE 0 END), 0) AS rows_after
+  FROM lineitem)
+SELECT rows_before, rows_before - rows_after AS rows_removed, rows_after,
+       {pct('rows_before - rows_after', 'rows_before')} AS removed_pct
+FROM a"""
+
+ORACLE_SQL["filter_report"] = f"""
+WITH a AS (
+  SELECT count(*) AS rows_before, count_if(l_orderkey % 17 = 0) AS null_key_rows,
+         count_if({_LI_RULE} AND l_orderkey % 19 <> 0) AS rows_after
+  FROM lineitem)
+SELECT rows_before, null_key_rows, rows_before - rows_after - null_key_rows AS rule_failures, rows_after,
+       {pct('rows_before - rows_after', 'rows_before')} AS loss_pct
+FROM a"""
+
 ORACLE_SQL["clean_special_chars"] = f"""
 SELECT doc_id, {strip('text')} AS text, {strip('lang')} AS lang, {strip('source')} AS source
 FROM documents"""
@@ -176,9 +199,6 @@ SELECT o_orderkey,
        CAST(o_orderdate AS DATE) + 3 AS stay_date
 FROM orders"""
 
-_LI_RULE = ("l_orderkey % 17 <> 0 AND l_extendedprice > 0 AND l_quantity - 5 > 0 "
-            "AND l_linenumber BETWEEN 1 AND 5 AND l_discount > 0")
-
 ORACLE_SQL["logical_filter"] = f"""
 SELECT l_orderkey, l_linenumber, l_quantity, l_extendedprice, l_discount,
        CAST(l_orderkey AS VARCHAR) AS booking_id, CAST(l_partkey AS VARCHAR) AS hotel_id,
@@ -271,6 +291,25 @@ s AS (SELECT *, (c0 = 0 AND c1 = 0 AND c2 = 0 AND c3 = 0 AND c4 = 0 AND c5 = 0)
     f"{pct(f'total_records - c{i}', 'total_records')} AS success_pct, c{i} = 0 AS passed, suite_success FROM s"
     for i, n in enumerate(_CHECKS))
 
+_BLOCKING = [K.CHECK_UNIQUE_BOOKING, K.CHECK_NOT_NULL_HOTEL, K.CHECK_STAR_RANGE, K.CHECK_LAT_LONG]
+ORACLE_SQL["quality_blocking"] = f"""
+WITH f AS (
+  SELECT c_custkey AS booking_id, CASE WHEN c_mktsegment <> 'BUILDING' THEN c_nationkey END AS hotel_id,
+         c_nationkey % 7 AS star_rating, c_acctbal / 100 AS latitude, c_acctbal / 50 AS longitude
+  FROM customer),
+c AS (
+  SELECT count(*) AS total_records,
+         count(*) - (count(DISTINCT booking_id) + coalesce(max(CASE WHEN booking_id IS NULL THEN 1 ELSE 0 END), 0)) AS c0,
+         count_if(hotel_id IS NULL) AS c1,
+         count_if(NOT (star_rating BETWEEN 1 AND 5)) AS c2,
+         count_if(NOT (latitude BETWEEN -90 AND 90) OR NOT (longitude BETWEEN -180 AND 180)) AS c3
+  FROM f),
+s AS (SELECT *, (c0 = 0 AND c1 = 0 AND c2 = 0 AND c3 = 0) AS suite_success FROM c)
+""" + "\nUNION ALL\n".join(
+    f"SELECT {_q(n)} AS check_name, c{i} AS fail_count, total_records, "
+    f"{pct(f'total_records - c{i}', 'total_records')} AS success_pct, c{i} = 0 AS passed, suite_success FROM s"
+    for i, n in enumerate(_BLOCKING))
+
 ORACLE_SQL["quality_gate"] = """
 SELECT *, o_orderkey AS booking_id, o_custkey AS hotel_id, CAST(length(o_orderstatus) AS INTEGER) AS star_rating,
        o_totalprice / 10000 AS latitude, o_totalprice / 10000 AS longitude

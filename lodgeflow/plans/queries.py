@@ -20,13 +20,13 @@ from lodgeflow.functions import as_number
 from lodgeflow.operators import bi, gold, quality
 from lodgeflow.operators.cleaning import (clean_coordinates, format_text, keep_digits, parse_dates,
                                           strip_special_chars)
-from lodgeflow.operators.dedup import dedup_by_key
+from lodgeflow.operators.dedup import dedup_any, dedup_by_key
 from lodgeflow.operators.enrich import enrich
 from lodgeflow.operators.joins import maybe_broadcast
 from lodgeflow.operators.lookup import lookup_constant, lookup_table
-from lodgeflow.operators.metrics import ingest_summary, lookup_coverage
+from lodgeflow.operators.metrics import dedup_report, filter_report, ingest_summary, lookup_coverage
 from lodgeflow.operators.profile import null_profile
-from lodgeflow.operators.rules import apply_business_rules, drop_null_keys
+from lodgeflow.operators.rules import apply_business_rules, business_rule, drop_null_keys
 from lodgeflow.operators.topk import latest
 from lodgeflow.plans.quality import validate_and_publish
 from lodgeflow.plans.silver import (bronze_to_silver, filter_valid, silver_metrics, standardize,
@@ -192,6 +192,32 @@ def q_dedup_by_key(spark: SparkSession, sf_dir: str) -> DataFrame:
     return dedup_by_key(table(spark, sf_dir, "lineitem"), "l_orderkey")
 
 
+def q_dedup_any_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Arbitrary survivor per key: the surviving rows differ run to run, the
+    keys and their count do not."""
+    return dedup_any(table(spark, sf_dir, "lineitem"), "l_orderkey").select("l_orderkey")
+
+
+def q_dedup_report(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return dedup_report(table(spark, sf_dir, "lineitem"), "l_orderkey")
+
+
+def _lineitem_rule_frame(spark: SparkSession, sf_dir: str) -> DataFrame:
+    li = table(spark, sf_dir, "lineitem")
+    k = F.col("l_orderkey")
+    return li.select(
+        k.cast("string").alias("booking_id"),
+        F.when(k % 17 != 0, F.col("l_partkey").cast("string")).alias("hotel_id"),
+        F.col("l_extendedprice").cast("string").alias("total_price"),
+        (F.col("l_quantity") - 5).cast("string").alias("adults"),
+        F.when(k % 19 == 0, F.lit("x")).otherwise(F.col("l_linenumber").cast("string")).alias("star_rating"),
+        F.col("l_discount").cast("string").alias("nights"))
+
+
+def q_filter_report(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return filter_report(_lineitem_rule_frame(spark, sf_dir), ["hotel_id", "booking_id"], business_rule())
+
+
 def q_clean_special_chars(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang", "source")
     # "hotel_name" is absent: listed columns that do not exist are skipped
@@ -355,6 +381,16 @@ def q_quality_report(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.quality_report(df, quality.extended_suite(df))
 
 
+def q_quality_blocking(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The four blocking checks on customers seen as bookings."""
+    c = table(spark, sf_dir, "customer")
+    df = c.select(F.col("c_custkey").alias("booking_id"),
+                  F.when(F.col("c_mktsegment") != "BUILDING", F.col("c_nationkey")).alias("hotel_id"),
+                  (F.col("c_nationkey") % 7).alias("star_rating"),
+                  (F.col("c_acctbal") / 100).alias("latitude"), (F.col("c_acctbal") / 50).alias("longitude"))
+    return quality.quality_report(df, quality.blocking_suite(df))
+
+
 def q_quality_gate(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Blocking suite on the orders; they pass, so they are published."""
     base = shared_dir(spark, "quality_gate")
@@ -431,6 +467,9 @@ QUERIES = {
     "ingest_summary": q_ingest_summary,
     "profile_nulls": q_profile_nulls,
     "dedup_by_key": q_dedup_by_key,
+    "dedup_any_keys": q_dedup_any_keys,
+    "dedup_report": q_dedup_report,
+    "filter_report": q_filter_report,
     "clean_special_chars": q_clean_special_chars,
     "digits_only": q_digits_only,
     "geo_clean": q_geo_clean,
@@ -444,6 +483,7 @@ QUERIES = {
     "silver_batch": q_silver_batch,
     "silver_stream_upsert": q_silver_stream_upsert,
     "quality_report": q_quality_report,
+    "quality_blocking": q_quality_blocking,
     "quality_gate": q_quality_gate,
     "gold_fact": q_gold_fact,
     "gold_dim_distinct": q_gold_dim_distinct,

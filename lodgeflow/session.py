@@ -67,7 +67,10 @@ def get_session(master: str | None = None, app_name: str = "lodgeflow",
     for k, v in conf.items():
         builder = builder.config(k, v)
     spark = builder.getOrCreate()
-    spark.sparkContext.setLogLevel("ERROR")
+    try:
+        spark.sparkContext.setLogLevel("ERROR")
+    except Exception:  # remote session
+        pass
     return spark
 
 
@@ -78,13 +81,19 @@ def checkpoint_root(spark: SparkSession) -> str:
     tests) a private folder is created and registered, so ``DataFrame.checkpoint``
     and our own intermediate tables land in the same place.
     """
-    sc = spark.sparkContext
-    current = sc.getCheckpointDir()
-    if current:
-        return current
-    configured = sc.getConf().get("spark.checkpoint.dir", None)
+    try:
+        sc = spark.sparkContext
+    except Exception:  # no context handle (remote session): configuration only
+        sc = None
+    if sc is not None and sc.getCheckpointDir():
+        return sc.getCheckpointDir()
+    configured = spark.conf.get("spark.checkpoint.dir", None)
+    if not configured and sc is not None:
+        configured = sc.getConf().get("spark.checkpoint.dir", None)
     if not configured:
         configured = tempfile.mkdtemp(prefix="lodgeflow-ckpt-")
+    if sc is None:
+        return configured
     sc.setCheckpointDir(configured)
     return sc.getCheckpointDir() or configured
 
