@@ -12,15 +12,20 @@ from lodgeflow.operators.joins import DEFAULT_BROADCAST_ROWS, maybe_broadcast
 
 def count_by_dimension(fact: DataFrame, dim: DataFrame, key: str = "city",
                        measure: str = "booking_id", out: str = "booking_count",
+                       keep_empty: bool = False,
                        max_broadcast_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
     """Non-null ``measure`` count per dimension value, as a map visual asks.
 
     The fact is aggregated by the key first (map-side combine), so the join
     sees one row per key; the dimension is reduced to its distinct keys, so a
     non-unique dimension key cannot multiply the counts.  Only keys present in
-    the dimension are reported.
+    the dimension are reported, and (like a visual, where a count over no
+    values is blank) keys with a zero count are left out unless
+    ``keep_empty``.
     """
     per_key = fact.groupBy(key).agg(F.count(F.col(measure)).alias(out))
+    if not keep_empty:
+        per_key = per_key.where(F.col(out) > 0)
     keys = dim.select(key).where(F.col(key).isNotNull()).distinct()
     return per_key.join(maybe_broadcast(keys, max_broadcast_rows), key, "left_semi")
 

@@ -339,7 +339,8 @@ WITH f AS (
 d AS (SELECT DISTINCT n_name AS city FROM supplier JOIN nation ON s_nationkey = n_nationkey)
 SELECT city, count(booking_id) AS booking_count
 FROM f WHERE city IN (SELECT city FROM d WHERE city IS NOT NULL)
-GROUP BY city"""
+GROUP BY city
+HAVING count(booking_id) > 0"""
 
 ORACLE_SQL["bi_implicit_totals"] = f"""WITH {LINEITEM_FACT_CTES}
 SELECT CAST(SUM(total_revenue) AS DECIMAL(38,2)) AS total_revenue, CAST(SUM(total_bookings) AS BIGINT) AS total_bookings

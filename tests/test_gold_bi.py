@@ -30,6 +30,9 @@ def test_fact_dim_kpi(spark):
 def test_count_by_dimension_does_not_multiply(spark):
     v = validated(spark)
     got = {r["city"]: r["booking_count"] for r in bi.count_by_dimension(v, gold.dim_city(v)).collect()}
+    assert got == {"Rome": 2, "Nice": 1}
+    got = {r["city"]: r["booking_count"]
+           for r in bi.count_by_dimension(v, gold.dim_city(v), keep_empty=True).collect()}
     assert got == {"Rome": 2, "Nice": 1, "Paris": 0}
 
 
