@@ -16,7 +16,6 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lodgeflow import constants as K
-from lodgeflow.functions import as_number
 from lodgeflow.operators import bi, gold, quality
 from lodgeflow.operators.cleaning import (clean_coordinates, format_text, keep_digits, parse_dates,
                                           strip_special_chars)

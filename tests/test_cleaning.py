@@ -87,3 +87,33 @@ def test_format_text_lists(spark):
     df = spark.createDataFrame([("tr", " suite ", "x@Y.com ")], "country string, room_type string, email string")
     r = format_text(df).first()
     assert (r["country"], r["room_type"], r["email"]) == ("TR", "SUITE", "x@y.com")
+
+
+def test_keep_language_option(spark, bookings):
+    from lodgeflow.plans.silver import bronze_to_silver
+    df = bookings([booking_row(booking_id="B1", language_preference="Klingon"),
+                   booking_row(booking_id="B2", language_preference=None)])
+    default = {r[0]: r[1] for r in bronze_to_silver(df).select("booking_id", "language_preference").collect()}
+    kept = {r[0]: r[1] for r in bronze_to_silver(df, keep_language=True)
+            .select("booking_id", "language_preference").collect()}
+    assert default == {"B1": "Turkish", "B2": "Turkish"}  # the dictionary overwrites
+    assert kept == {"B1": "Klingon", "B2": "Turkish"}
+
+
+def test_lookup_table_falls_back_to_shuffle_join(spark):
+    df = spark.createDataFrame([("A",), ("B",)], "c string")
+    d = spark.createDataFrame([("A", "x"), ("B", "y")], "k string, v string")
+    from lodgeflow.operators.joins import fits_broadcast, maybe_broadcast
+    hinted = lambda x: "strategy=broadcast" in x._jdf.queryExecution().analyzed().toString()
+    assert not fits_broadcast(d, 1) and not hinted(maybe_broadcast(d, 1))
+    assert fits_broadcast(d, 2) and hinted(maybe_broadcast(d, 2))
+    out = lookup_table(df, "c", d, "k", "v", "out", max_broadcast_rows=1)
+    assert sorted(tuple(r) for r in out.collect()) == [("A", "x"), ("B", "y")]
+
+
+def test_read_scalar_takes_latest_load(spark):
+    from lodgeflow.operators.enrich import read_scalar
+    t = spark.createDataFrame([(1.1, "2024-01-01"), (1.2, "2024-01-02")], "eur_rate double, ingested_at string")
+    assert read_scalar(t, "eur_rate", "ingested_at") == 1.2
+    assert read_scalar(t, "missing") is None and read_scalar(None, "eur_rate") is None
+    assert read_scalar(t.limit(0), "eur_rate") is None
