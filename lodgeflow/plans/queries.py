@@ -354,7 +354,7 @@ def q_silver_stream_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
     e = _events(spark, sf_dir).withColumn("day", F.col("ts").cast("date").cast("string"))
     keys, order = ["user_id", "day"], [F.col("ts").asc(), F.col("event_id").asc()]
     seed = dedup_by_key(e.where(F.col("ts") < F.lit("2024-01-16").cast("timestamp_ntz")), keys, order)
-    write_silver(seed, target)
+    write_silver(seed, target, keys=keys)
     # one file per day, so every key's rows arrive in one micro-batch
     e.repartition("day").write.mode("overwrite").options(**JSON_TIMESTAMP_OPTIONS).json(f"{base}/landing")
     stream = read_event_stream(spark, f"{base}/landing", e.schema, max_files_per_trigger=4)

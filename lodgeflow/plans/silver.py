@@ -95,10 +95,18 @@ def silver_metrics(raw: DataFrame, key: str = K.BOOKING_KEY,
         percent(F.col("rows_after_dedup") - F.col("rows_after_filter"), "rows_after_dedup").alias("filter_loss_pct"))
 
 
-def write_silver(df: DataFrame, target: str, load_id: str = "batch") -> None:
+def write_silver(df: DataFrame, target: str, load_id: str = "batch",
+                 keys: Sequence[str] | str | None = K.BOOKING_KEY) -> None:
     """Drop-and-recreate (SNK-2): every partition, stream inserts included, is
-    replaced, as a full batch rebuild of the original does."""
-    overwrite(df.withColumn(LOAD_COL, F.lit(load_id)), target, partition_by=[LOAD_COL])
+    replaced, as a full batch rebuild of the original does.  Rows are sorted
+    by key inside each file (no extra shuffle) so the upsert's key-range
+    filter can skip row groups."""
+    keys = [keys] if isinstance(keys, str) else list(keys or [])
+    out = df.withColumn(LOAD_COL, F.lit(load_id))
+    present = [k for k in keys if k in df.columns]
+    if present:
+        out = out.sortWithinPartitions(LOAD_COL, *present)
+    overwrite(out, target, partition_by=[LOAD_COL])
 
 
 def stream_to_silver(stream: DataFrame, target: str, checkpoint: str, key: str = K.BOOKING_KEY,
