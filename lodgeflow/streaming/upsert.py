@@ -29,7 +29,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from lodgeflow.operators.dedup import dedup_by_key
-from lodgeflow.operators.joins import DEFAULT_BROADCAST_ROWS, fits_broadcast
+from lodgeflow.operators.joins import DEFAULT_BROADCAST_ROWS
 
 LOAD_COL = "_load_id"
 
@@ -55,10 +55,15 @@ def align_to(df: DataFrame, target: DataFrame) -> DataFrame:
     return df.select(*cols)
 
 
-def key_range(df: DataFrame, key: str):
-    """(min, max) of a key column in one small aggregate; None when empty."""
-    r = df.agg(F.min(key).alias("lo"), F.max(key).alias("hi")).first()
-    return None if r["lo"] is None else (r["lo"], r["hi"])
+def batch_stats(df: DataFrame, keys: Sequence[str]) -> tuple[int, tuple | None]:
+    """Row count and (for a single key) its (min, max), in one small job over
+    the persisted micro-batch."""
+    aggs = [F.count(F.lit(1)).alias("n")]
+    if len(keys) == 1:
+        aggs += [F.min(keys[0]).alias("lo"), F.max(keys[0]).alias("hi")]
+    r = df.agg(*aggs).first()
+    rng = (r["lo"], r["hi"]) if len(keys) == 1 and r["lo"] is not None else None
+    return r["n"], rng
 
 
 def insert_new_rows(batch: DataFrame, target: str, keys: str | Sequence[str], load_id: str,
@@ -71,17 +76,16 @@ def insert_new_rows(batch: DataFrame, target: str, keys: str | Sequence[str], lo
     try:
         current = read_target(spark, target)
         if current is not None:
+            rows, rng = batch_stats(fresh, keys)
             # only the key columns of the target are read (column pruning)
             target_keys = current.where(F.col(LOAD_COL) != F.lit(load_id)).select(*keys)
-            if prune_by_key_range and len(keys) == 1:
+            if prune_by_key_range and rng is not None:
                 # exact: a target key outside the batch's key range cannot match.
                 # The range reaches the parquet scan, so row groups whose
-                # min/max lie outside it are skipped (ids that grow over time
-                # make old files drop out of every micro-batch's scan).
-                rng = key_range(fresh, keys[0])
-                if rng is not None:
-                    target_keys = target_keys.where(F.col(keys[0]).between(F.lit(rng[0]), F.lit(rng[1])))
-            small = fits_broadcast(fresh, max_broadcast_rows)
+                # min/max lie outside it are skipped (silver files are sorted
+                # by key, see write_silver).
+                target_keys = target_keys.where(F.col(keys[0]).between(F.lit(rng[0]), F.lit(rng[1])))
+            small = rows <= max_broadcast_rows
             batch_keys = fresh.select(*keys)
             # keys of this batch that already exist: the big side is never shuffled
             # when the batch is small, and the result is no larger than the batch

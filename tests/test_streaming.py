@@ -98,3 +98,25 @@ def test_batch_and_stream_give_the_same_silver(spark, tmp_dir, bookings):
     norm = lambda df: sorted(tuple(r) for r in df.select(*sorted(df.columns)).collect())
     assert norm(batch) == norm(streamed)
     assert sorted(r[0] for r in streamed.select("booking_id").collect()) == ["B1", "B4"]
+
+
+def test_key_range_prunes_target_scan(spark, tmp_dir):
+    """Silver files are sorted by key, so the batch's key range skips row groups."""
+    from lodgeflow.streaming.upsert import batch_stats
+    target = os.path.join(tmp_dir, "t")
+    spark.conf.set("parquet.block.size", str(64 * 1024))
+    try:
+        base = spark.range(200_000).select(F.format_string("%09d", "id").alias("booking_id")).repartition(4)
+        write_silver(base, target)
+    finally:
+        spark.conf.unset("parquet.block.size")
+    batch = spark.range(199_990, 200_010).select(F.format_string("%09d", "id").alias("booking_id"))
+    n, (lo, hi) = batch_stats(batch, ["booking_id"])
+    assert n == 20
+    scan = spark.read.parquet(target).where(F.col("booking_id").between(lo, hi)).select("booking_id")
+    assert scan.count() == 10
+    scan.collect()
+    read = scan._jdf.queryExecution().executedPlan().collectLeaves().apply(0).metrics().apply("numOutputRows").value()
+    assert read < 200_000 // 4  # far fewer rows than the target holds
+    insert_new_rows(batch.withColumn("v", F.lit(1)), target, "booking_id", "s-1")
+    assert spark.read.parquet(target).count() == 200_010
