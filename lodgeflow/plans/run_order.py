@@ -16,7 +16,7 @@ from lodgeflow.plans.silver import bronze_to_silver, stream_to_silver, write_sil
 from lodgeflow.sinks.tables import overwrite
 from lodgeflow.sources.api import (CURRENCY_SCHEMA, WEATHER_SCHEMA, currency_rows, read_payloads,
                                    weather_rows)
-from lodgeflow.sources.files import add_load_metadata, read_csv
+from lodgeflow.sources.files import add_load_metadata, read_csv, read_table_if_exists
 from lodgeflow.streaming.ingest import ingest_events, read_event_stream, read_table_stream
 
 
@@ -40,11 +40,8 @@ def run_all_stages(spark: SparkSession, csv_path: str, weather_json: str | None,
     if currency_json:
         overwrite(currency_rows(read_payloads(spark, currency_json, CURRENCY_SCHEMA)), t.raw_currency_api)
 
-    def load(path):
-        try:
-            return spark.read.parquet(path)
-        except Exception:  # table not there: enrichment falls back
-            return None
+    def load(path):  # an absent reference table makes the enrichment fall back
+        return read_table_if_exists(spark, path)
 
     # 3. batch silver
     raw = spark.read.parquet(t.hotel_raw_batch)

@@ -117,3 +117,11 @@ def test_read_scalar_takes_latest_load(spark):
     assert read_scalar(t, "eur_rate", "ingested_at") == 1.2
     assert read_scalar(t, "missing") is None and read_scalar(None, "eur_rate") is None
     assert read_scalar(t.limit(0), "eur_rate") is None
+
+
+def test_read_table_if_exists(spark, tmp_dir):
+    from lodgeflow.sources.files import read_table_if_exists
+    assert read_table_if_exists(spark, "no_such_table_here") is None
+    assert read_table_if_exists(spark, tmp_dir + "/missing") is None
+    spark.createDataFrame([(1,)], "a int").write.parquet(tmp_dir + "/t")
+    assert read_table_if_exists(spark, tmp_dir + "/t").count() == 1
