@@ -13,9 +13,10 @@ from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType
 
 from lodgeflow import constants as K
-from lodgeflow.functions import percent
+from lodgeflow.functions import as_number, parse_date, percent
 from lodgeflow.operators.metrics import distinct_keys
 
 _TOTAL = "total_records"
@@ -41,10 +42,12 @@ def in_range(col: str | Column, low, high, name: str = K.CHECK_STAR_RANGE) -> Ch
     return Check(name, F.count_if(~c.between(low, high)))
 
 
-def coordinates_in_range(lat: str = "latitude", lon: str = "longitude",
+def coordinates_in_range(lat: str | Column = "latitude", lon: str | Column = "longitude",
                          name: str = K.CHECK_LAT_LONG) -> Check:
     (la, ha), (lo, ho) = K.COORDINATE_BOUNDS["latitude"], K.COORDINATE_BOUNDS["longitude"]
-    return Check(name, F.count_if(~F.col(lat).between(la, ha) | ~F.col(lon).between(lo, ho)))
+    a = F.col(lat) if isinstance(lat, str) else lat
+    b = F.col(lon) if isinstance(lon, str) else lon
+    return Check(name, F.count_if(~a.between(la, ha) | ~b.between(lo, ho)))
 
 
 def not_before(later: str | Column, earlier: str | Column, name: str = K.CHECK_DATE_LOGIC) -> Check:
@@ -62,17 +65,35 @@ def matches(df: DataFrame, col: str, pattern: str = K.DIGITS_ONLY_PATTERN,
     return Check(name, F.count_if(~F.col(col).rlike(pattern)))
 
 
-def blocking_suite(df: DataFrame) -> list[Check]:
+def numeric(df: DataFrame, col: str, truncate_numeric: bool = False) -> Column:
+    """A text column as a number (``try_cast``; bad text is null, never an
+    error under ANSI), any other column as is."""
+    if isinstance(df.schema[col].dataType, StringType):
+        return as_number(col, truncate_numeric)
+    return F.col(col)
+
+
+def as_date(df: DataFrame, col: str) -> Column:
+    """A text column parsed as a date (ISO text, bad text null)."""
+    if isinstance(df.schema[col].dataType, StringType):
+        return parse_date(col)
+    return F.col(col)
+
+
+def blocking_suite(df: DataFrame, truncate_numeric: bool = False) -> list[Check]:
     """The four blocking checks of the publish gate."""
-    return [unique("booking_id"), not_null("hotel_id"), in_range("star_rating", 1, 5),
-            coordinates_in_range()]
+    return [unique("booking_id"), not_null("hotel_id"),
+            in_range(numeric(df, "star_rating", truncate_numeric), 1, 5),
+            coordinates_in_range(numeric(df, "latitude"), numeric(df, "longitude"))]
 
 
-def extended_suite(df: DataFrame) -> list[Check]:
+def extended_suite(df: DataFrame, truncate_numeric: bool = False) -> list[Check]:
     """The six-check variant (adds date order and phone format)."""
-    return [unique("booking_id"), not_null("hotel_id"), in_range("star_rating", 1, 5),
-            not_before("checkout_date", "checkin_date"), matches(df, "phone"),
-            coordinates_in_range()]
+    return [unique("booking_id"), not_null("hotel_id"),
+            in_range(numeric(df, "star_rating", truncate_numeric), 1, 5),
+            not_before(as_date(df, "checkout_date"), as_date(df, "checkin_date")),
+            matches(df, "phone"),
+            coordinates_in_range(numeric(df, "latitude"), numeric(df, "longitude"))]
 
 
 def check_counts(df: DataFrame, checks: Sequence[Check]) -> DataFrame:

@@ -87,3 +87,19 @@ def test_stage_reports(spark):
     assert (f["rows_before"], f["null_key_rows"], f["rule_failures"], f["rows_after"]) == (4, 1, 1, 2)
     c = lookup_coverage(df, "hotel_id").first()
     assert (c["total"], c["filled"], c["missing"], c["filled_pct"]) == (4, 3, 1, 75.0)
+
+
+def test_text_columns_never_raise_under_ansi(spark):
+    df = spark.createDataFrame(
+        [("B1", "h", "4.5", "41.0", "12.0", "2024-01-02", "2024-01-01", "1"),
+         ("B2", "h", "x", "bad", "12.0", "not a date", "2024-01-01", "2"),
+         ("B3", "h", "5.9", "95", "12.0", "2024-01-05", "2024-01-01", "3")],
+        "booking_id string, hotel_id string, star_rating string, latitude string, longitude string, "
+        "checkout_date string, checkin_date string, phone string")
+    assert spark.conf.get("spark.sql.ansi.enabled") == "true"
+    fails = {r["name"]: r["fail_count"] for r in Q.evaluate(df, Q.extended_suite(df))["results"]}
+    assert fails["Star Rating Range (1-5)"] == 1           # 5.9; 'x' is null, not a failure
+    assert fails["Lat/Long Range Check"] == 1               # 95
+    assert fails["Date Logic (Checkout >= Checkin)"] == 0
+    legacy = {r["name"]: r["fail_count"] for r in Q.evaluate(df, Q.extended_suite(df, truncate_numeric=True))["results"]}
+    assert legacy["Star Rating Range (1-5)"] == 0          # 5.9 -> 5
