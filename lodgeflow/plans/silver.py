@@ -23,7 +23,7 @@ from lodgeflow.functions import percent
 from lodgeflow.operators.rules import (apply_business_rules, business_rule, drop_null_keys,
                                        null_key_predicate)
 from lodgeflow.sinks.tables import overwrite
-from lodgeflow.streaming.upsert import LOAD_COL, run_upsert
+from lodgeflow.streaming.upsert import LOAD_COL, read_target, run_upsert
 
 
 def standardize(df: DataFrame, language_map: Mapping[str, str] = K.LANGUAGE_BY_COUNTRY) -> DataFrame:
@@ -107,6 +107,10 @@ def write_silver(df: DataFrame, target: str, load_id: str = "batch",
     if present:
         out = out.sortWithinPartitions(LOAD_COL, *present)
     overwrite(out, target, partition_by=[LOAD_COL])
+    if read_target(df.sparkSession, target) is None:
+        # no rows: a partitioned write leaves no file, so keep the schema
+        # readable with an empty file in this load's partition folder
+        df.limit(0).write.mode("overwrite").parquet(f"{target.rstrip('/')}/{LOAD_COL}={load_id}")
 
 
 def stream_to_silver(stream: DataFrame, target: str, checkpoint: str, key: str = K.BOOKING_KEY,

@@ -49,3 +49,23 @@ def test_views_and_validation(spark):
     spark.catalog.dropTempView("dim_city")
     with pytest.raises(gold.GoldViewsMissing):
         gold.validate_gold_views(spark)
+
+
+def test_empty_input_through_the_chain(spark, tmp_dir, bookings):
+    import os
+    from lodgeflow.plans.quality import validate_and_publish
+    from lodgeflow.plans.silver import bronze_to_silver, silver_metrics, write_silver
+    raw = bookings([])
+    silver = bronze_to_silver(raw)
+    assert silver.count() == 0
+    m = silver_metrics(raw).first()
+    assert (m["rows_before"], m["rows_after_dedup"], m["dedup_removed_pct"]) == (0, 0, None)
+    write_silver(silver, os.path.join(tmp_dir, "s"))
+    s = spark.read.parquet(os.path.join(tmp_dir, "s"))
+    rep = validate_and_publish(spark, s, os.path.join(tmp_dir, "v"))
+    assert rep["success"] and rep["evaluation_parameters"]["total_records"] == 0
+    views = gold.register_gold_views(spark, spark.read.parquet(os.path.join(tmp_dir, "v")))
+    assert views["kpi_revenue"].count() == 0
+    got = {r["view_name"]: r["probe_rows"] for r in gold.validate_gold_views(spark).collect()}
+    assert got == {"fact_booking": 0, "dim_city": 0, "kpi_revenue": 0}
+    assert bi.implicit_totals(views["kpi_revenue"], {"total_revenue": "sum"}).first()["total_revenue"] is None
