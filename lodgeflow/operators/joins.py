@@ -6,17 +6,22 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 # Rows a side may have and still be shipped to every executor.  Dimension and
-# dictionary rows are narrow, so 1M rows stays far below executor memory.
-DEFAULT_BROADCAST_ROWS = 1_000_000
+# dictionary rows are narrow, so 100k rows stays far below executor memory;
+# larger sides go to a shuffle join, where AQE may still switch to a
+# broadcast from the measured shuffle size.
+DEFAULT_BROADCAST_ROWS = 100_000
 
 
 def fits_broadcast(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS) -> bool:
     """True when ``df`` has at most ``max_rows`` rows.
 
-    The check reads at most ``max_rows + 1`` rows (a bounded job), so it is
-    safe to run on a side that turns out to be huge.
+    ``take`` runs incrementally (one partition first, then more only while
+    rows are missing) and stops after ``max_rows + 1`` rows, with no column
+    projected: the check costs about ``max_rows`` rows of work however large
+    the side turns out to be.  (``limit(n).count()`` would instead read up to
+    ``n`` rows from every partition and funnel them into one task.)
     """
-    return df.limit(max_rows + 1).count() <= max_rows
+    return len(df.select().take(max_rows + 1)) <= max_rows
 
 
 def maybe_broadcast(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
