@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from lodgeflow.plans.gold import refresh_gold
 from lodgeflow.plans.quality import validate_and_publish
-from lodgeflow.plans.silver import bronze_to_silver, stream_to_silver, write_silver
+from lodgeflow.plans.silver import run_bronze_to_silver, stream_to_silver
 from lodgeflow.sinks.tables import overwrite
 from lodgeflow.sources.api import (CURRENCY_SCHEMA, WEATHER_SCHEMA, currency_rows, read_payloads,
                                    weather_rows)
@@ -45,8 +45,8 @@ def run_all_stages(spark: SparkSession, csv_path: str, weather_json: str | None,
 
     # 3. batch silver
     raw = spark.read.parquet(t.hotel_raw_batch)
-    write_silver(bronze_to_silver(raw, rate_table=load(t.raw_currency_api),
-                                  weather_table=load(t.raw_weather_api)), t.silver_hotel_bookings)
+    run_bronze_to_silver(raw, t.silver_hotel_bookings, rate_table=load(t.raw_currency_api),
+                         weather_table=load(t.raw_weather_api))
     # 4. stream silver
     if events_json:
         ingest_events(spark, events_json, t.hotel_raw_stream, t.ckpt_raw_stream)

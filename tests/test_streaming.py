@@ -158,3 +158,21 @@ def test_failed_batch_is_retried_on_restart(spark, tmp_dir):
     run_upsert(read_event_stream(spark, src, schema, max_files_per_trigger=1), target, ck, "k",
                transform=flaky, order_by=[F.col("ts")])
     assert target_rows(spark, target) == [("a", 1, 0), ("b", 2, 1)]
+
+
+def test_observed_metrics_match_the_exact_report(spark, tmp_dir, bookings):
+    from lodgeflow.plans.silver import run_bronze_to_silver, silver_metrics
+    rows = [booking_row(booking_id="B1"), booking_row(booking_id="B1", total_price="5"),
+            booking_row(booking_id="B2", star_rating="9"), booking_row(booking_id="B3", hotel_id=None),
+            booking_row(booking_id="B4", country_customer="ATLANTIS")]
+    raw = bookings(rows)
+    target = os.path.join(tmp_dir, "silver")
+    m = run_bronze_to_silver(raw, target)
+    exact = silver_metrics(raw).first()
+    assert m["dedup"]["rows_before"] == exact["rows_before"] == 5
+    assert m["dedup"]["rows_after"] == exact["rows_after_dedup"] == 4
+    assert m["filter"]["null_key_rows"] == exact["null_key_rows"] == 1
+    assert m["filter"]["rule_failures"] == exact["rule_failures"] == 1
+    assert m["filter"]["rows_after"] == exact["rows_after_filter"] == 2
+    assert m["lookup"]["filled"] == 3 and m["lookup"]["missing_pct"] == 25.0
+    assert spark.read.parquet(target).count() == 2
