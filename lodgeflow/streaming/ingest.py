@@ -24,8 +24,17 @@ JSON_TIMESTAMP_OPTIONS = {
 
 def read_event_stream(spark: SparkSession, path: str, schema: StructType = RAW_BOOKING_SCHEMA,
                       fmt: str = "json", max_files_per_trigger: int | None = None,
-                      path_glob: str | None = None, options: dict | None = None) -> DataFrame:
+                      path_glob: str | None = None, options: dict | None = None,
+                      archive_dir: str | None = None) -> DataFrame:
+    """Landed event files as a stream, with an explicit schema.
+
+    ``max_files_per_trigger`` bounds each micro-batch; ``archive_dir`` moves
+    committed files out of the landing folder (the file source's
+    ``cleanSource``), so the folder listed on every trigger stays small on a
+    long-running stream."""
     reader = spark.readStream.schema(schema).format(fmt)
+    if archive_dir:
+        reader = reader.option("cleanSource", "archive").option("sourceArchiveDir", archive_dir)
     if fmt == "json":
         reader = reader.options(**JSON_TIMESTAMP_OPTIONS)
     if options:

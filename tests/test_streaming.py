@@ -176,3 +176,18 @@ def test_observed_metrics_match_the_exact_report(spark, tmp_dir, bookings):
     assert m["filter"]["rows_after"] == exact["rows_after_filter"] == 2
     assert m["lookup"]["filled"] == 3 and m["lookup"]["missing_pct"] == 25.0
     assert spark.read.parquet(target).count() == 2
+
+
+def test_ingest_archives_committed_files(spark, tmp_dir):
+    src, target, arch = (os.path.join(tmp_dir, n) for n in ("src", "raw", "archive"))
+    land(spark, [("a", 1, 0)], src)
+    land(spark, [("b", 2, 1)], src)
+    schema = spark.createDataFrame([], SCHEMA).schema
+    from lodgeflow.streaming.ingest import start_raw_ingest
+    for _ in range(2):  # files are archived once a later batch commits
+        q = start_raw_ingest(read_event_stream(spark, src, schema, max_files_per_trigger=1, archive_dir=arch),
+                             target, os.path.join(tmp_dir, "ck"))
+        q.awaitTermination()
+    assert spark.read.parquet(target).count() == 2
+    archived = [f for _, _, fs in os.walk(arch) for f in fs if f.endswith(".json")]
+    assert len(archived) >= 1
