@@ -115,9 +115,9 @@ WITH o AS (
   FROM orders),
 c AS (
   SELECT count(*) AS t,
-         count_if(o_orderkey IS NULL) AS n0, count_if(o_custkey IS NULL) AS n1,
-         count_if(o_orderstatus IS NULL) AS n2, count_if(o_totalprice IS NULL OR isnan(o_totalprice)) AS n3,
-         count_if(o_orderdate IS NULL) AS n4, count_if(o_orderpriority IS NULL) AS n5
+         count(*) FILTER (WHERE o_orderkey IS NULL) AS n0, count(*) FILTER (WHERE o_custkey IS NULL) AS n1,
+         count(*) FILTER (WHERE o_orderstatus IS NULL) AS n2, count(*) FILTER (WHERE o_totalprice IS NULL OR isnan(o_totalprice)) AS n3,
+         count(*) FILTER (WHERE o_orderdate IS NULL) AS n4, count(*) FILTER (WHERE o_orderpriority IS NULL) AS n5
   FROM o)
 """ + "\nUNION ALL\n".join(
     f"SELECT '{c}' AS Column_Name, n{i} AS Null_Count, {pct(f'n{i}', 't', '0.0')} AS Missing_Percentage FROM c"
@@ -138,8 +138,8 @@ FROM a"""
 
 ORACLE_SQL["filter_report"] = f"""
 WITH a AS (
-  SELECT count(*) AS rows_before, count_if(l_orderkey % 17 = 0) AS null_key_rows,
-         count_if({_LI_RULE} AND l_orderkey % 19 <> 0) AS rows_after
+  SELECT count(*) AS rows_before, count(*) FILTER (WHERE l_orderkey % 17 = 0) AS null_key_rows,
+         count(*) FILTER (WHERE {_LI_RULE} AND l_orderkey % 19 <> 0) AS rows_after
   FROM lineitem)
 SELECT rows_before, null_key_rows, rows_before - rows_after - null_key_rows AS rule_failures, rows_after,
        {pct('rows_before - rows_after', 'rows_before')} AS loss_pct
@@ -215,8 +215,8 @@ ORACLE_SQL["stage_metrics"] = f"""
 WITH d AS ({LINEITEM_DEDUP}),
 a AS (
   SELECT (SELECT count(*) FROM lineitem) AS rows_before, count(*) AS rows_after_dedup,
-         count_if(l_orderkey % 17 = 0) AS null_key_rows,
-         count_if({_LI_RULE}) AS rows_after_filter
+         count(*) FILTER (WHERE l_orderkey % 17 = 0) AS null_key_rows,
+         count(*) FILTER (WHERE {_LI_RULE}) AS rows_after_filter
   FROM d)
 SELECT rows_before, rows_before - rows_after_dedup AS duplicates_removed, rows_after_dedup,
        {pct('rows_before - rows_after_dedup', 'rows_before')} AS dedup_removed_pct,
@@ -279,11 +279,11 @@ WITH f AS (
 c AS (
   SELECT count(*) AS total_records,
          count(*) - (count(DISTINCT booking_id) + coalesce(max(CASE WHEN booking_id IS NULL THEN 1 ELSE 0 END), 0)) AS c0,
-         count_if(hotel_id IS NULL) AS c1,
-         count_if(NOT (star_rating BETWEEN 1 AND 5)) AS c2,
-         count_if(checkout_date < checkin_date) AS c3,
-         count_if(NOT regexp_matches(phone, '^\\d+$')) AS c4,
-         count_if(NOT (latitude BETWEEN -90 AND 90) OR NOT (longitude BETWEEN -180 AND 180)) AS c5
+         count(*) FILTER (WHERE hotel_id IS NULL) AS c1,
+         count(*) FILTER (WHERE NOT (star_rating BETWEEN 1 AND 5)) AS c2,
+         count(*) FILTER (WHERE checkout_date < checkin_date) AS c3,
+         count(*) FILTER (WHERE NOT regexp_matches(phone, '^\\d+$')) AS c4,
+         count(*) FILTER (WHERE NOT (latitude BETWEEN -90 AND 90) OR NOT (longitude BETWEEN -180 AND 180)) AS c5
   FROM f),
 s AS (SELECT *, (c0 = 0 AND c1 = 0 AND c2 = 0 AND c3 = 0 AND c4 = 0 AND c5 = 0) AS suite_success FROM c)
 """ + "\nUNION ALL\n".join(
@@ -300,9 +300,9 @@ WITH f AS (
 c AS (
   SELECT count(*) AS total_records,
          count(*) - (count(DISTINCT booking_id) + coalesce(max(CASE WHEN booking_id IS NULL THEN 1 ELSE 0 END), 0)) AS c0,
-         count_if(hotel_id IS NULL) AS c1,
-         count_if(NOT (star_rating BETWEEN 1 AND 5)) AS c2,
-         count_if(NOT (latitude BETWEEN -90 AND 90) OR NOT (longitude BETWEEN -180 AND 180)) AS c3
+         count(*) FILTER (WHERE hotel_id IS NULL) AS c1,
+         count(*) FILTER (WHERE NOT (star_rating BETWEEN 1 AND 5)) AS c2,
+         count(*) FILTER (WHERE NOT (latitude BETWEEN -90 AND 90) OR NOT (longitude BETWEEN -180 AND 180)) AS c3
   FROM f),
 s AS (SELECT *, (c0 = 0 AND c1 = 0 AND c2 = 0 AND c3 = 0) AS suite_success FROM c)
 """ + "\nUNION ALL\n".join(
