@@ -18,22 +18,32 @@ from lodgeflow import constants as K
 from lodgeflow.operators import cleaning
 from lodgeflow.operators.dedup import dedup_by_key
 from lodgeflow.operators.enrich import enrich
-from lodgeflow.operators.lookup import lookup_constant
 from lodgeflow.functions import percent
+from lodgeflow.operators.lookup import lookup_constant
 from lodgeflow.operators.rules import (apply_business_rules, business_rule, drop_null_keys,
                                        null_key_predicate)
 from lodgeflow.sinks.tables import overwrite
 from lodgeflow.streaming.upsert import LOAD_COL, read_target, run_upsert
 
 
-def standardize(df: DataFrame, language_map: Mapping[str, str] = K.LANGUAGE_BY_COUNTRY) -> DataFrame:
-    """Row-wise clean-up (SCA-1..9, JOI-2); works on batch and stream."""
+def standardize(df: DataFrame, language_map: Mapping[str, str] = K.LANGUAGE_BY_COUNTRY,
+                keep_language: bool = False) -> DataFrame:
+    """Row-wise clean-up (SCA-1..9, JOI-2); works on batch and stream.
+
+    The look-up overwrites ``language_preference`` as the original does;
+    ``keep_language=True`` keeps a non-null incoming value instead."""
     df = cleaning.strip_special_chars(df)
     df = cleaning.keep_digits(df)
     df = cleaning.clean_coordinates(df)
     df = cleaning.format_text(df)
     if "country_customer" in df.columns:
+        keep = keep_language and "language_preference" in df.columns
+        if keep:
+            df = df.withColumnRenamed("language_preference", "__lang_in")
         df = lookup_constant(df, "country_customer", "language_preference", language_map)
+        if keep:
+            df = df.withColumn("language_preference",
+                               F.coalesce(F.col("__lang_in"), F.col("language_preference"))).drop("__lang_in")
     return cleaning.parse_dates(df)
 
 
@@ -48,13 +58,7 @@ def bronze_to_silver(raw: DataFrame, key: str = K.BOOKING_KEY,
                      rate_col: str = "eur_rate", truncate_numeric: bool = False,
                      language_map: Mapping[str, str] = K.LANGUAGE_BY_COUNTRY,
                      keep_language: bool = False) -> DataFrame:
-    df = dedup_by_key(raw, key, dedup_order)
-    if keep_language and "language_preference" in df.columns:
-        df = df.withColumn("__lang_in", F.col("language_preference"))
-    df = standardize(df, language_map)
-    if keep_language and "__lang_in" in df.columns:
-        df = df.withColumn("language_preference",
-                           F.coalesce(F.col("__lang_in"), F.col("language_preference"))).drop("__lang_in")
+    df = standardize(dedup_by_key(raw, key, dedup_order), language_map, keep_language)
     df = filter_valid(df, truncate_numeric)
     return enrich(df, rate_table=rate_table, rate_col=rate_col, weather_table=weather_table)
 
@@ -122,7 +126,8 @@ def run_bronze_to_silver(raw: DataFrame, target: str, key: str = K.BOOKING_KEY,
                          dedup_order: Sequence[Column] | None = None,
                          rate_table: DataFrame | None = None, weather_table: DataFrame | None = None,
                          rate_col: str = "eur_rate", truncate_numeric: bool = False,
-                         language_map: Mapping[str, str] = K.LANGUAGE_BY_COUNTRY) -> dict:
+                         language_map: Mapping[str, str] = K.LANGUAGE_BY_COUNTRY,
+                         keep_language: bool = False) -> dict:
     """JOB-1 as one job: build and write silver, and return the stage metrics
     (MET-1 de-duplication, MET-2 look-up coverage, MET-3 filter loss)
     collected by ``observe`` while the rows stream through the write: no
@@ -132,7 +137,7 @@ def run_bronze_to_silver(raw: DataFrame, target: str, key: str = K.BOOKING_KEY,
     o_raw, o_dedup, o_clean = Observation("raw"), Observation("dedup"), Observation("clean")
     df = raw.observe(o_raw, F.count(F.lit(1)).alias("rows"))
     df = dedup_by_key(df, key, dedup_order).observe(o_dedup, F.count(F.lit(1)).alias("rows"))
-    df = standardize(df, language_map)
+    df = standardize(df, language_map, keep_language)
     nk = null_key_predicate(list(id_cols))
     rule = business_rule(truncate_numeric=truncate_numeric)
     lang = (F.count(F.col("language_preference")) if "language_preference" in df.columns
@@ -159,11 +164,13 @@ def run_bronze_to_silver(raw: DataFrame, target: str, key: str = K.BOOKING_KEY,
 
 def stream_to_silver(stream: DataFrame, target: str, checkpoint: str, key: str = K.BOOKING_KEY,
                      rate_table_loader=None, weather_table_loader=None,
-                     truncate_numeric: bool = False, dedup_order: Sequence[Column] | None = None) -> None:
+                     truncate_numeric: bool = False, dedup_order: Sequence[Column] | None = None,
+                     language_map: Mapping[str, str] = K.LANGUAGE_BY_COUNTRY,
+                     keep_language: bool = False) -> None:
     """JOB-2: the same row-wise chain on the stream, then per micro-batch the
     enrichment (reference tables re-read every batch) and the insert-only
     upsert.  Waits until everything available is processed."""
-    cleaned = filter_valid(standardize(stream), truncate_numeric)
+    cleaned = filter_valid(standardize(stream, language_map, keep_language), truncate_numeric)
 
     def per_batch(batch: DataFrame) -> DataFrame:
         rates = rate_table_loader() if rate_table_loader else None
