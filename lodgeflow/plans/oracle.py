@@ -347,3 +347,5 @@ SELECT CAST(SUM(total_revenue) AS DECIMAL(38,2)) AS total_revenue, CAST(SUM(tota
 FROM kpi"""
 
 ORACLE_SQL["latest_n"] = "SELECT * FROM events ORDER BY ts DESC NULLS LAST, event_id LIMIT 15"
+
+ORACLE_SQL["sample_preview"] = "SELECT count(*) AS preview_rows FROM (SELECT 1 FROM events LIMIT 10)"

@@ -26,7 +26,7 @@ from lodgeflow.operators.lookup import lookup_constant, lookup_table
 from lodgeflow.operators.metrics import dedup_report, filter_report, ingest_summary, lookup_coverage
 from lodgeflow.operators.profile import null_profile
 from lodgeflow.operators.rules import apply_business_rules, business_rule, drop_null_keys
-from lodgeflow.operators.topk import latest
+from lodgeflow.operators.topk import latest, sample_rows
 from lodgeflow.plans.quality import validate_and_publish
 from lodgeflow.plans.silver import (bronze_to_silver, filter_valid, silver_metrics, standardize,
                                     write_silver)
@@ -462,6 +462,12 @@ def q_latest_n(spark: SparkSession, sf_dir: str) -> DataFrame:
     return latest(_events(spark, sf_dir), "ts", K.LATEST_N, tie_breakers=["event_id"])
 
 
+def q_sample_preview(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """An unordered preview of ``n`` rows (the rows themselves are arbitrary,
+    so the check is on how many come back)."""
+    return sample_rows(_events(spark, sf_dir), 10).agg(F.count(F.lit(1)).alias("preview_rows"))
+
+
 QUERIES = {
     "bronze_csv_ingest": q_bronze_csv_ingest,
     "bronze_json_payload": q_bronze_json_payload,
@@ -495,4 +501,5 @@ QUERIES = {
     "bi_count_by_dim": q_bi_count_by_dim,
     "bi_implicit_totals": q_bi_implicit_totals,
     "latest_n": q_latest_n,
+    "sample_preview": q_sample_preview,
 }
