@@ -56,14 +56,11 @@ def align_to(df: DataFrame, target: DataFrame) -> DataFrame:
 
 
 def batch_stats(df: DataFrame, keys: Sequence[str]) -> tuple[int, tuple | None]:
-    """Row count and (for a single key) its (min, max), in one small job over
-    the persisted micro-batch."""
-    aggs = [F.count(F.lit(1)).alias("n")]
-    if len(keys) == 1:
-        aggs += [F.min(keys[0]).alias("lo"), F.max(keys[0]).alias("hi")]
-    r = df.agg(*aggs).first()
-    rng = (r["lo"], r["hi"]) if len(keys) == 1 and r["lo"] is not None else None
-    return r["n"], rng
+    """Row count and the (min, max) of the first key column, in one small job
+    over the persisted micro-batch."""
+    r = df.agg(F.count(F.lit(1)).alias("n"), F.min(keys[0]).alias("lo"),
+               F.max(keys[0]).alias("hi")).first()
+    return r["n"], (None if r["lo"] is None else (r["lo"], r["hi"]))
 
 
 def insert_new_rows(batch: DataFrame, target: str, keys: str | Sequence[str], load_id: str,
@@ -80,7 +77,8 @@ def insert_new_rows(batch: DataFrame, target: str, keys: str | Sequence[str], lo
             # only the key columns of the target are read (column pruning)
             target_keys = current.where(F.col(LOAD_COL) != F.lit(load_id)).select(*keys)
             if prune_by_key_range and rng is not None:
-                # exact: a target key outside the batch's key range cannot match.
+                # exact: a target row whose (first) key lies outside the
+                # batch's range cannot match.
                 # The range reaches the parquet scan, so row groups whose
                 # min/max lie outside it are skipped (silver files are sorted
                 # by key, see write_silver).
