@@ -72,3 +72,19 @@ def test_table_stream_and_watermark_dedup(spark, tmp_dir):
     q = s.writeStream.format("memory").queryName("wm_dedup").trigger(availableNow=True).start()
     q.awaitTermination()
     assert sorted(r["k"] for r in spark.table("wm_dedup").collect()) == [1, 2]
+
+
+def test_command_line(spark, tmp_dir, capsys):
+    from lodgeflow.__main__ import main
+    t = os.path.join(tmp_dir, "silver")
+    spark.createDataFrame([("B1", "h", "4", 41.0, 12.0), ("B1", None, "9", 95.0, 12.0)],
+                          "booking_id string, hotel_id string, star_rating string, latitude double, "
+                          "longitude double").write.parquet(t)
+    assert main(["quality", "--table", t], spark=spark) == 0
+    rows = [json.loads(line) for line in capsys.readouterr().out.splitlines()]
+    fails = {r["check_name"]: r["fail_count"] for r in rows}
+    assert fails == {"Unique Booking ID": 1, "NotNull Hotel ID": 1, "Star Rating Range (1-5)": 1,
+                     "Lat/Long Range Check": 1}
+    assert main(["profile", "--table", t], spark=spark) == 0
+    prof = {r["Column_Name"]: r["Null_Count"] for r in map(json.loads, capsys.readouterr().out.splitlines())}
+    assert prof["hotel_id"] == 1 and prof["booking_id"] == 0
