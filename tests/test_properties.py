@@ -87,3 +87,28 @@ def test_profile_matches_brute_force(spark, rows):
     for i, c in enumerate(["k", "x", "y"]):
         n = sum(r[i] is None for r in rows)
         assert got[c] == (n, py_percent(n, len(rows)) if rows else 0.0)
+
+
+BATCHES = st.lists(st.lists(st.tuples(st.sampled_from(["a", "b", "c", "d", "e"]), st.integers(0, 9)),
+                            min_size=0, max_size=6), min_size=1, max_size=4)
+
+
+@settings(max_examples=5, deadline=None, suppress_health_check=list(HealthCheck))
+@given(BATCHES, st.lists(st.booleans(), min_size=4, max_size=4))
+def test_upsert_matches_model(spark, batches, retry):
+    import tempfile
+    from lodgeflow.streaming.upsert import LOAD_COL, insert_new_rows
+    target = tempfile.mkdtemp(prefix="lodgeflow-prop-") + "/t"
+    model: dict = {}
+    for i, rows in enumerate(batches):
+        df = spark.createDataFrame(rows, "k string, v int")
+        for _ in range(2 if retry[i] else 1):  # a retried batch must not change anything
+            insert_new_rows(df, target, "k", f"s-{i:04d}", order_by=[F.col("v")])
+        for k in sorted({k for k, _ in rows}):
+            if k not in model:
+                model[k] = min(v for kk, v in rows if kk == k)
+    try:
+        got = {r["k"]: r["v"] for r in spark.read.parquet(target).drop(LOAD_COL).collect()}
+    except Exception:  # nothing was ever written
+        got = {}
+    assert got == model
