@@ -28,6 +28,18 @@ def read_scalar(table: DataFrame | None, column: str, latest_by: str | None = No
     return table.agg(agg.alias("v")).first()["v"]
 
 
+def enrichment_values(rate_table: DataFrame | None = None, rate_col: str = "eur_rate",
+                      weather_table: DataFrame | None = None, temp_col: str = "temperature",
+                      latest_by: str | None = "ingested_at",
+                      default_rate: float = FALLBACK_EUR_RATE,
+                      default_temp: float = FALLBACK_TEMPERATURE) -> dict:
+    """The rate and temperature to apply, and whether each fell back (MET-5)."""
+    rate = read_scalar(rate_table, rate_col, latest_by)
+    temp = read_scalar(weather_table, temp_col, latest_by)
+    return {"eur_rate": float(default_rate if rate is None else rate), "rate_is_fallback": rate is None,
+            "temperature": float(default_temp if temp is None else temp), "temperature_is_fallback": temp is None}
+
+
 def enrich(df: DataFrame, price_col: str = "total_price",
            rate_table: DataFrame | None = None, rate_col: str = "eur_rate",
            weather_table: DataFrame | None = None, temp_col: str = "temperature",
@@ -35,18 +47,20 @@ def enrich(df: DataFrame, price_col: str = "total_price",
            default_rate: float = FALLBACK_EUR_RATE, default_temp: float = FALLBACK_TEMPERATURE,
            price_out: str = "total_price_eur", temp_out: str = "ingested_temp",
            processed_at: str | None = "silver_processed_at",
-           fallback_flag: str | None = "rate_is_fallback") -> DataFrame:
-    rate = read_scalar(rate_table, rate_col, latest_by)
-    temp = read_scalar(weather_table, temp_col, latest_by)
-    rate_fallback = rate is None
-    rate = float(default_rate if rate is None else rate)
-    temp = float(default_temp if temp is None else temp)
+           fallback_flag: str | None = None, values: dict | None = None) -> DataFrame:
+    """Add the converted price, the temperature and the processing time.
+
+    ``values`` (from ``enrichment_values``) skips re-reading the reference
+    tables; ``fallback_flag`` names an optional column recording whether the
+    rate fell back."""
+    v = values or enrichment_values(rate_table, rate_col, weather_table, temp_col, latest_by,
+                                    default_rate, default_temp)
     cols = {
-        price_out: F.round(as_number(price_col) * F.lit(rate), 2),
-        temp_out: F.lit(temp),
+        price_out: F.round(as_number(price_col) * F.lit(v["eur_rate"]), 2),
+        temp_out: F.lit(v["temperature"]),
     }
     if fallback_flag:
-        cols[fallback_flag] = F.lit(rate_fallback)
+        cols[fallback_flag] = F.lit(v["rate_is_fallback"])
     if processed_at:
         cols[processed_at] = F.current_timestamp()
     return df.withColumns(cols)

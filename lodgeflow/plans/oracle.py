@@ -257,8 +257,7 @@ s AS (
 SELECT booking_id, hotel_id, hotel_name, country, city, full_name, city_customer, country_customer,
        address, room_type, phone, latitude, longitude, email, trip_type, booking_date,
        total_price, adults, star_rating, nights, lang.v AS language_preference,
-       round(price_n * CAST(1.08 AS DOUBLE), 2) AS total_price_eur, CAST(20.0 AS DOUBLE) AS ingested_temp,
-       true AS rate_is_fallback
+       round(price_n * CAST(1.08 AS DOUBLE), 2) AS total_price_eur, CAST(20.0 AS DOUBLE) AS ingested_temp
 FROM s LEFT JOIN {LANG_VALUES} ON s.country_customer = lang.k
 WHERE hotel_id IS NOT NULL AND booking_id IS NOT NULL
   AND price_n > 0 AND adults_n > 0 AND star_n BETWEEN 1 AND 5 AND nights_n > 0"""

@@ -307,7 +307,8 @@ def q_enrich_constants(spark: SparkSession, sf_dir: str) -> DataFrame:
     e = _events(spark, sf_dir)
     rates = e.select(F.col("value").alias("usd_rate"), F.col("ts").alias("ingested_at"))
     weather = e.select(F.col("value").alias("temperature"), F.col("ts").alias("ingested_at"))
-    out = enrich(o, rate_table=rates, weather_table=weather, processed_at=None)
+    out = enrich(o, rate_table=rates, weather_table=weather, processed_at=None,
+                 fallback_flag="rate_is_fallback")
     return out.drop("total_price")
 
 

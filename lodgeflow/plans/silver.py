@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 from lodgeflow import constants as K
 from lodgeflow.operators import cleaning
 from lodgeflow.operators.dedup import dedup_by_key
-from lodgeflow.operators.enrich import enrich
+from lodgeflow.operators.enrich import enrich, enrichment_values
 from lodgeflow.functions import percent
 from lodgeflow.operators.lookup import lookup_constant
 from lodgeflow.operators.rules import (apply_business_rules, business_rule, drop_null_keys,
@@ -129,7 +129,8 @@ def run_bronze_to_silver(raw: DataFrame, target: str, key: str = K.BOOKING_KEY,
                          language_map: Mapping[str, str] = K.LANGUAGE_BY_COUNTRY,
                          keep_language: bool = False) -> dict:
     """JOB-1 as one job: build and write silver, and return the stage metrics
-    (MET-1 de-duplication, MET-2 look-up coverage, MET-3 filter loss)
+    (MET-1 de-duplication, MET-2 look-up coverage, MET-3 filter loss, MET-5
+    enrichment status)
     collected by ``observe`` while the rows stream through the write: no
     extra scan or shuffle.  (Observed counts come from successful tasks; if
     a lost executor forces a stage to be recomputed they can over-count, so
@@ -146,8 +147,8 @@ def run_bronze_to_silver(raw: DataFrame, target: str, key: str = K.BOOKING_KEY,
                     F.count_if(nk).alias("null_keys"),
                     F.count_if(~nk & F.coalesce(rule, F.lit(False))).alias("kept"))
     df = filter_valid(df, truncate_numeric)
-    write_silver(enrich(df, rate_table=rate_table, rate_col=rate_col, weather_table=weather_table),
-                 target, keys=[key])
+    values = enrichment_values(rate_table, rate_col, weather_table)
+    write_silver(enrich(df, values=values), target, keys=[key])
     before, after = o_raw.get["rows"], o_dedup.get["rows"]
     c = o_clean.get
     return {
@@ -159,6 +160,7 @@ def run_bronze_to_silver(raw: DataFrame, target: str, key: str = K.BOOKING_KEY,
         "filter": {"rows_before": c["rows"], "null_key_rows": c["null_keys"],
                    "rule_failures": c["rows"] - c["kept"] - c["null_keys"], "rows_after": c["kept"],
                    "loss_pct": _pct(c["rows"] - c["kept"], c["rows"])},
+        "enrichment": values,
     }
 
 

@@ -75,11 +75,12 @@ def test_lookup_table_repeated_keys_do_not_multiply(spark):
 
 def test_enrich_fallbacks_and_live_rate(spark):
     df = spark.createDataFrame([("100.555",)], "total_price string")
-    r = enrich(df).first()
+    r = enrich(df, fallback_flag="rate_is_fallback").first()
     assert r["total_price_eur"] == 108.6 and r["ingested_temp"] == 20.0 and r["rate_is_fallback"] is True
+    assert "rate_is_fallback" not in enrich(df).columns  # silver keeps the original schema
     rates = spark.createDataFrame([(1.1,)], "eur_rate double")
     weather = spark.createDataFrame([(None,)], "temperature double")
-    r = enrich(df, rate_table=rates, weather_table=weather).first()
+    r = enrich(df, rate_table=rates, weather_table=weather, fallback_flag="rate_is_fallback").first()
     assert r["total_price_eur"] == 110.61 and r["ingested_temp"] == 20.0 and r["rate_is_fallback"] is False
 
 

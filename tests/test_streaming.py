@@ -175,6 +175,8 @@ def test_observed_metrics_match_the_exact_report(spark, tmp_dir, bookings):
     assert m["filter"]["rule_failures"] == exact["rule_failures"] == 1
     assert m["filter"]["rows_after"] == exact["rows_after_filter"] == 2
     assert m["lookup"]["filled"] == 3 and m["lookup"]["missing_pct"] == 25.0
+    assert m["enrichment"] == {"eur_rate": 1.08, "rate_is_fallback": True, "temperature": 20.0,
+                               "temperature_is_fallback": True}
     assert spark.read.parquet(target).count() == 2
 
 
