@@ -111,7 +111,7 @@ def write_silver(df: DataFrame, target: str, load_id: str = "batch",
     if present:
         out = out.sortWithinPartitions(LOAD_COL, *present)
     overwrite(out, target, partition_by=[LOAD_COL])
-    if read_target(df.sparkSession, target) is None:
+    if ("/" in target or ":" in target) and read_target(df.sparkSession, target) is None:
         # no rows: a partitioned write leaves no file, so keep the schema
         # readable with an empty file in this load's partition folder
         df.limit(0).write.mode("overwrite").parquet(f"{target.rstrip('/')}/{LOAD_COL}={load_id}")

@@ -34,13 +34,31 @@ from lodgeflow.operators.joins import DEFAULT_BROADCAST_ROWS
 LOAD_COL = "_load_id"
 
 
+def _is_path(target: str) -> bool:
+    return "/" in target or ":" in target
+
+
 def read_target(spark: SparkSession, target: str) -> DataFrame | None:
+    """The target (a parquet folder or a catalog table), or None if absent."""
+    if not _is_path(target):
+        return spark.read.table(target) if spark.catalog.tableExists(target) else None
     try:
         return spark.read.parquet(target)
     except AnalysisException:
         return None
 
 
+def write_load(df: DataFrame, target: str, exists: bool) -> None:
+    """Replace the ``_load_id`` partitions present in ``df`` and nothing else."""
+    w = df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+    if _is_path(target):
+        w.partitionBy(LOAD_COL).parquet(target)
+    elif exists:
+        w.insertInto(target)  # by position: ``df`` follows the table's column order
+    else:
+        w.partitionBy(LOAD_COL).format("parquet").saveAsTable(target)
+
+
 def align_to(df: DataFrame, target: DataFrame) -> DataFrame:
     """Target's columns in target order; absent ones null, extra ones dropped."""
     have = set(df.columns)
@@ -94,9 +112,8 @@ def insert_new_rows(batch: DataFrame, target: str, keys: str | Sequence[str], lo
             out = fresh
         # sorted by key inside each file: tight row-group min/max statistics,
         # so the key-range filter above skips most of the target
-        (out.withColumn(LOAD_COL, F.lit(load_id)).sortWithinPartitions(LOAD_COL, *keys)
-            .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-            .partitionBy(LOAD_COL).parquet(target))
+        write_load(out.withColumn(LOAD_COL, F.lit(load_id)).sortWithinPartitions(LOAD_COL, *keys),
+                   target, current is not None)
     finally:
         fresh.unpersist()
 

@@ -11,7 +11,8 @@ sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 def spark():
     from lodgeflow.session import get_session
     s = get_session("local[4]", app_name="lodgeflow-tests", shuffle_partitions=4,
-                    extra={"spark.default.parallelism": "4"})
+                    extra={"spark.default.parallelism": "4",
+                           "spark.sql.warehouse.dir": tempfile.mkdtemp(prefix="lodgeflow-test-wh-")})
     # tests own their checkpoint folder (the cluster setting is unset here)
     if not s.sparkContext.getCheckpointDir():
         s.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="lodgeflow-test-ckpt-"))
