@@ -201,10 +201,16 @@ def q_dedup_report(spark: SparkSession, sf_dir: str) -> DataFrame:
     return dedup_report(table(spark, sf_dir, "lineitem"), "l_orderkey")
 
 
-def _lineitem_rule_frame(spark: SparkSession, sf_dir: str) -> DataFrame:
+_PASSTHROUGH = ["l_orderkey", "l_linenumber", "l_quantity", "l_extendedprice", "l_discount"]
+
+
+def _lineitem_rule_frame(spark: SparkSession, sf_dir: str, keep: list[str] | None = None) -> DataFrame:
+    """Line items as text booking fields for the key and rule filters: every
+    17th order has no hotel id, every 19th a star rating that is not a number."""
     li = table(spark, sf_dir, "lineitem")
     k = F.col("l_orderkey")
     return li.select(
+        *(keep or []),
         k.cast("string").alias("booking_id"),
         F.when(k % 17 != 0, F.col("l_partkey").cast("string")).alias("hotel_id"),
         F.col("l_extendedprice").cast("string").alias("total_price"),
@@ -285,19 +291,8 @@ def q_parse_dates(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def q_logical_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
-    li = table(spark, sf_dir, "lineitem")
-    k = F.col("l_orderkey")
-    df = li.select(
-        "l_orderkey", "l_linenumber", "l_quantity", "l_extendedprice", "l_discount",
-        k.cast("string").alias("booking_id"),
-        F.when(k % 17 != 0, F.col("l_partkey").cast("string")).alias("hotel_id"),
-        F.col("l_extendedprice").cast("string").alias("total_price"),
-        (F.col("l_quantity") - 5).cast("string").alias("adults"),
-        F.when(k % 19 == 0, F.lit("x")).otherwise(F.col("l_linenumber").cast("string")).alias("star_rating"),
-        F.col("l_discount").cast("string").alias("nights"))
-    out = apply_business_rules(drop_null_keys(df))
-    return out.select("l_orderkey", "l_linenumber", "l_quantity", "l_extendedprice", "l_discount",
-                      "booking_id", "hotel_id", "star_rating")
+    out = apply_business_rules(drop_null_keys(_lineitem_rule_frame(spark, sf_dir, _PASSTHROUGH)))
+    return out.select(*_PASSTHROUGH, "booking_id", "hotel_id", "star_rating")
 
 
 def q_enrich_constants(spark: SparkSession, sf_dir: str) -> DataFrame:
