@@ -26,18 +26,33 @@ def string_schema(columns) -> StructType:
 RAW_BOOKING_SCHEMA = string_schema(RAW_BOOKING_COLUMNS)
 
 
-def read_csv(spark: SparkSession, path: str, schema: StructType | None = None) -> DataFrame:
+def read_csv(spark: SparkSession, path: str, schema: StructType | None = None,
+             multi_line: bool = True, spread_to: int | None = None) -> DataFrame:
     """CSV with a header row, quoted multi-line fields, ``"`` as quote and
     escape, padding dropped; every column is text.
 
     Without ``schema`` the names come from the header (every column still
-    text: no inference pass over the data).  A multi-line CSV file is not
-    splittable, so parallelism comes from the number of files.
+    text: no inference pass over the data).  A multi-line CSV file cannot be
+    split, so one file is one task: land many files, or
+
+    * ``multi_line=False`` when the producer guarantees no newline inside a
+      quoted field: every file is then split into blocks;
+    * ``spread_to=n`` to rebalance the parsed rows over ``n`` partitions
+      right after the scan (when the scan yields fewer), so a single huge
+      file costs one parsing task but not one task for everything after it.
     """
-    reader = spark.read.options(**CSV_OPTIONS)
+    options = dict(CSV_OPTIONS, multiLine="true" if multi_line else "false")
+    reader = spark.read.options(**options)
     if schema is not None:
         reader = reader.schema(schema)
-    return reader.csv(path)
+    df = reader.csv(path)
+    if spread_to:
+        try:
+            if df.rdd.getNumPartitions() < spread_to:
+                df = df.repartition(spread_to)
+        except Exception:  # no RDD view (remote session): leave the scan as is
+            pass
+    return df
 
 
 def add_load_metadata(df: DataFrame, source: str | None = BATCH_SOURCE_NAME,

@@ -88,3 +88,22 @@ def test_command_line(spark, tmp_dir, capsys):
     assert main(["profile", "--table", t], spark=spark) == 0
     prof = {r["Column_Name"]: r["Null_Count"] for r in map(json.loads, capsys.readouterr().out.splitlines())}
     assert prof["hotel_id"] == 1 and prof["booking_id"] == 0
+
+
+def test_csv_split_options(spark, tmp_dir):
+    from lodgeflow.sources.files import read_csv
+    p = os.path.join(tmp_dir, "flat")
+    spark.range(0, 50_000).selectExpr("cast(id as string) as booking_id", "'x, y' as note") \
+        .coalesce(1).write.option("header", "true").csv(p)
+    spark.conf.set("spark.sql.files.maxPartitionBytes", str(64 * 1024))
+    try:
+        multi = read_csv(spark, p)
+        flat = read_csv(spark, p, multi_line=False)
+        spread = read_csv(spark, p, spread_to=4)
+        assert multi.rdd.getNumPartitions() == 1        # one file, not splittable
+        assert flat.rdd.getNumPartitions() > 1          # split into blocks
+        assert spread.rdd.getNumPartitions() == 4
+        for df in (multi, flat, spread):
+            assert df.count() == 50_000 and df.where("note = 'x, y'").count() == 50_000
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
