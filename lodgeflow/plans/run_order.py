@@ -32,8 +32,13 @@ class Layout:
 def run_all_stages(spark: SparkSession, csv_path: str, weather_json: str | None,
                    currency_json: str | None, events_json: str | None, root: str) -> DataFrame:
     t = Layout(root)
-    # 1. raw batch
-    overwrite(add_load_metadata(read_csv(spark, csv_path)), t.hotel_raw_batch)
+    # 1. raw batch (parsed rows spread over the cluster when the landing
+    #    folder holds fewer files than there are cores)
+    try:
+        parallelism = spark.sparkContext.defaultParallelism
+    except Exception:  # remote session
+        parallelism = None
+    overwrite(add_load_metadata(read_csv(spark, csv_path, spread_to=parallelism)), t.hotel_raw_batch)
     # 2. landed API payloads
     if weather_json:
         overwrite(weather_rows(read_payloads(spark, weather_json, WEATHER_SCHEMA)), t.raw_weather_api)
