@@ -58,9 +58,16 @@ def get_session(master: str | None = None, app_name: str = "lodgeflow",
     builder = SparkSession.builder.appName(app_name)
     if master:
         builder = builder.master(master)
-    conf = dict(DEFAULT_CONF)
+    # defaults and the cluster profile only fill in what the submitter did not
+    # set (spark-submit --conf, spark-defaults.conf); explicit arguments win
+    try:
+        from pyspark import SparkConf
+        present = {k for k, _ in SparkConf().getAll()}
+    except Exception:
+        present = set()
+    conf = {k: v for k, v in DEFAULT_CONF.items() if k not in present}
     if cluster:
-        conf.update(CLUSTER_CONF)
+        conf.update({k: v for k, v in CLUSTER_CONF.items() if k not in present})
     if shuffle_partitions:
         conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
     conf.update(extra or {})
