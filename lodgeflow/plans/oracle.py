@@ -93,9 +93,9 @@ SELECT 'EUR' AS base_currency, CAST(json_extract_string(props, '$.k') AS DOUBLE)
 FROM events"""
 
 ORACLE_SQL["bronze_json_weather"] = """
-SELECT strftime(ts, '%Y-%m-%dT%H:%M') AS "time", CAST(NULL AS DOUBLE) AS "interval",
-       value AS temperature, CAST(NULL AS DOUBLE) AS windspeed, CAST(NULL AS DOUBLE) AS winddirection,
-       CAST(NULL AS DOUBLE) AS is_day, CAST(user_id AS DOUBLE) AS weathercode
+SELECT strftime(ts, '%Y-%m-%dT%H:%M') AS "time", CAST(NULL AS BIGINT) AS "interval",
+       value AS temperature, CAST(NULL AS DOUBLE) AS windspeed, CAST(NULL AS BIGINT) AS winddirection,
+       CAST(NULL AS BIGINT) AS is_day, user_id AS weathercode
 FROM events"""
 
 ORACLE_SQL["bronze_stream_ingest"] = "SELECT * FROM events"

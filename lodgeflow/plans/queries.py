@@ -156,7 +156,7 @@ def q_bronze_json_weather(spark: SparkSession, sf_dir: str) -> DataFrame:
     body = F.struct(F.struct(
         F.date_format("ts", "yyyy-MM-dd'T'HH:mm").alias("time"),
         F.col("value").alias("temperature"),
-        F.col("user_id").cast("double").alias("weathercode")).alias("current_weather"))
+        F.col("user_id").alias("weathercode")).alias("current_weather"))
     path = _land_payloads(spark, sf_dir, "weather_payloads", body)
     return weather_rows(read_payloads(spark, path, WEATHER_SCHEMA)).drop("ingested_at")
 

@@ -11,19 +11,19 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import DoubleType, MapType, StringType, StructField, StructType
+from pyspark.sql.types import DoubleType, LongType, MapType, StringType, StructField, StructType
 
 from lodgeflow.constants import BASE_CURRENCY, CURRENCY_CODES
 
 WEATHER_SCHEMA = StructType([
     StructField("current_weather", StructType([
         StructField("time", StringType()),
-        StructField("interval", DoubleType()),
+        StructField("interval", LongType()),
         StructField("temperature", DoubleType()),
         StructField("windspeed", DoubleType()),
-        StructField("winddirection", DoubleType()),
-        StructField("is_day", DoubleType()),
-        StructField("weathercode", DoubleType()),
+        StructField("winddirection", LongType()),
+        StructField("is_day", LongType()),
+        StructField("weathercode", LongType()),
     ])),
 ])
 
