@@ -132,8 +132,9 @@ def run_bronze_to_silver(raw: DataFrame, target: str, key: str = K.BOOKING_KEY,
     (MET-1 de-duplication, MET-2 look-up coverage, MET-3 filter loss, MET-5
     enrichment status)
     collected by ``observe`` while the rows stream through the write: no
-    extra scan or shuffle.  (Observed counts come from successful tasks; if
-    a lost executor forces a stage to be recomputed they can over-count, so
+    extra scan or shuffle.  (Observed counts come from successful task
+    attempts, so a retried task counts once; only a finished stage that is
+    recomputed after its shuffle output was lost could count twice, so
     ``silver_metrics`` is the exact, separate report.)"""
     o_raw, o_dedup, o_clean = Observation("raw"), Observation("dedup"), Observation("clean")
     df = raw.observe(o_raw, F.count(F.lit(1)).alias("rows"))
