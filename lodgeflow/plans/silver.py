@@ -22,7 +22,7 @@ from lodgeflow.functions import percent
 from lodgeflow.operators.lookup import lookup_constant
 from lodgeflow.operators.rules import (apply_business_rules, business_rule, drop_null_keys,
                                        null_key_predicate)
-from lodgeflow.sinks.tables import overwrite
+from lodgeflow.sinks.tables import key_bloom_options, overwrite
 from lodgeflow.streaming.upsert import LOAD_COL, read_target, run_upsert
 
 
@@ -103,14 +103,16 @@ def write_silver(df: DataFrame, target: str, load_id: str = "batch",
                  keys: Sequence[str] | str | None = K.BOOKING_KEY) -> None:
     """Drop-and-recreate (SNK-2): every partition, stream inserts included, is
     replaced, as a full batch rebuild of the original does.  Rows are sorted
-    by key inside each file (no extra shuffle) so the upsert's key-range
-    filter can skip row groups."""
+    by key inside each file (no extra shuffle) and every row group carries a
+    bloom filter on the key, so the upsert's key-range and key-list filters
+    skip row groups."""
     keys = [keys] if isinstance(keys, str) else list(keys or [])
     out = df.withColumn(LOAD_COL, F.lit(load_id))
     present = [k for k in keys if k in df.columns]
     if present:
         out = out.sortWithinPartitions(LOAD_COL, *present)
-    overwrite(out, target, partition_by=[LOAD_COL])
+    overwrite(out, target, partition_by=[LOAD_COL],
+              options=key_bloom_options(present[0]) if present else None)
     if ("/" in target or ":" in target) and read_target(df.sparkSession, target) is None:
         # no rows: a partitioned write leaves no file, so keep the schema
         # readable with an empty file in this load's partition folder

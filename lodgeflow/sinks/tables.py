@@ -11,10 +11,18 @@ import json
 from pyspark.sql import DataFrame, SparkSession
 
 
+def key_bloom_options(key: str, ndv: int = 200_000) -> dict:
+    """Parquet writer options for a bloom filter on ``key`` in every row group,
+    sized for ``ndv`` distinct keys per row group (~1 % false positives).
+    Point look-ups (``key IN (...)``) then skip row groups without the keys."""
+    return {f"parquet.bloom.filter.enabled#{key}": "true",
+            f"parquet.bloom.filter.expected.ndv#{key}": str(ndv)}
+
+
 def overwrite(df: DataFrame, target: str, partition_by: list[str] | None = None,
-              fmt: str = "parquet") -> None:
+              fmt: str = "parquet", options: dict | None = None) -> None:
     """Full refresh.  A name without ``/`` is a catalog table."""
-    w = df.write.mode("overwrite").format(fmt)
+    w = df.write.mode("overwrite").format(fmt).options(**(options or {}))
     if partition_by:
         w = w.partitionBy(*partition_by)
     if "/" in target or ":" in target:

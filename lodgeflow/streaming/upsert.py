@@ -30,6 +30,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from lodgeflow.operators.dedup import dedup_by_key
 from lodgeflow.operators.joins import DEFAULT_BROADCAST_ROWS
+from lodgeflow.sinks.tables import key_bloom_options
 
 LOAD_COL = "_load_id"
 
@@ -48,9 +49,10 @@ def read_target(spark: SparkSession, target: str) -> DataFrame | None:
         return None
 
 
-def write_load(df: DataFrame, target: str, exists: bool) -> None:
+def write_load(df: DataFrame, target: str, exists: bool, options: dict | None = None) -> None:
     """Replace the ``_load_id`` partitions present in ``df`` and nothing else."""
-    w = df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+    w = (df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+         .options(**(options or {})))
     if _is_path(target):
         w.partitionBy(LOAD_COL).parquet(target)
     elif exists:
@@ -81,17 +83,24 @@ def batch_stats(df: DataFrame, keys: Sequence[str]) -> tuple[int, tuple | None]:
     return r["n"], (None if r["lo"] is None else (r["lo"], r["hi"]))
 
 
+# A micro-batch with at most this many rows also pushes its keys into the
+# target scan as ``key IN (...)``: with the bloom filters written on the key,
+# row groups holding none of them are skipped even when keys are random.
+MAX_PUSHED_KEYS = 1000
+
+
 def insert_new_rows(batch: DataFrame, target: str, keys: str | Sequence[str], load_id: str,
                     order_by: Sequence[Column] | None = None,
                     max_broadcast_rows: int = DEFAULT_BROADCAST_ROWS,
-                    prune_by_key_range: bool = True) -> None:
+                    prune_by_key_range: bool = True,
+                    max_pushed_keys: int = MAX_PUSHED_KEYS) -> None:
     spark = batch.sparkSession
     keys = [keys] if isinstance(keys, str) else list(keys)
     fresh = dedup_by_key(batch, keys, order_by).persist(StorageLevel.MEMORY_AND_DISK)
     try:
         current = read_target(spark, target)
+        rows, rng = batch_stats(fresh, keys)
         if current is not None:
-            rows, rng = batch_stats(fresh, keys)
             # only the key columns of the target are read (column pruning)
             target_keys = current.where(F.col(LOAD_COL) != F.lit(load_id)).select(*keys)
             if prune_by_key_range and rng is not None:
@@ -101,6 +110,10 @@ def insert_new_rows(batch: DataFrame, target: str, keys: str | Sequence[str], lo
                 # min/max lie outside it are skipped (silver files are sorted
                 # by key, see write_silver).
                 target_keys = target_keys.where(F.col(keys[0]).between(F.lit(rng[0]), F.lit(rng[1])))
+            if 0 < rows <= max_pushed_keys:
+                # bounded: at most max_pushed_keys values reach the driver
+                pushed = [r[0] for r in fresh.select(keys[0]).distinct().collect() if r[0] is not None]
+                target_keys = target_keys.where(F.col(keys[0]).isin(pushed))
             small = rows <= max_broadcast_rows
             batch_keys = fresh.select(*keys)
             # keys of this batch that already exist: the big side is never shuffled
@@ -113,7 +126,8 @@ def insert_new_rows(batch: DataFrame, target: str, keys: str | Sequence[str], lo
         # sorted by key inside each file: tight row-group min/max statistics,
         # so the key-range filter above skips most of the target
         write_load(out.withColumn(LOAD_COL, F.lit(load_id)).sortWithinPartitions(LOAD_COL, *keys),
-                   target, current is not None)
+                   target, current is not None,
+                   key_bloom_options(keys[0], ndv=min(200_000, max(1_000, rows))))
     finally:
         fresh.unpersist()
 
