@@ -69,3 +69,14 @@ def test_empty_input_through_the_chain(spark, tmp_dir, bookings):
     got = {r["view_name"]: r["probe_rows"] for r in gold.validate_gold_views(spark).collect()}
     assert got == {"fact_booking": 0, "dim_city": 0, "kpi_revenue": 0}
     assert bi.implicit_totals(views["kpi_revenue"], {"total_revenue": "sum"}).first()["total_revenue"] is None
+
+
+def test_replace_drops_and_recreates_with_new_schema(spark):
+    from lodgeflow.sinks.tables import replace
+    name = "replace_schema_test"
+    spark.sql(f"DROP TABLE IF EXISTS {name}")
+    replace(spark, spark.createDataFrame([(1, "a")], "id int, v string"), name)
+    replace(spark, spark.createDataFrame([(2, 3.5, True)], "id int, price double, ok boolean"), name)
+    t = spark.table(name)
+    assert t.columns == ["id", "price", "ok"] and [tuple(r) for r in t.collect()] == [(2, 3.5, True)]
+    spark.sql(f"DROP TABLE {name}")
