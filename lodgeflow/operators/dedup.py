@@ -27,6 +27,8 @@ def default_order(df: DataFrame, keys: Sequence[str]) -> list[Column]:
 
 def dedup_by_key(df: DataFrame, keys: str | Sequence[str],
                  order_by: Sequence[Column] | None = None) -> DataFrame:
+    """One row per key: the first under ``order_by`` (default: every other
+    column ascending, nulls first, which is a total order)."""
     keys = [keys] if isinstance(keys, str) else list(keys)
     order = list(order_by) if order_by else default_order(df, keys)
     if not order:

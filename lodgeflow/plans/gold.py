@@ -12,5 +12,6 @@ def build_gold(spark: SparkSession, validated: DataFrame, price_col: str = "tota
 
 
 def refresh_gold(spark: SparkSession, validated: DataFrame, price_col: str = "total_price") -> DataFrame:
+    """Define the three gold views over the validated table and check them."""
     build_gold(spark, validated, price_col)
     return validate_gold_views(spark)

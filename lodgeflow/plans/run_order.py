@@ -31,6 +31,8 @@ class Layout:
 
 def run_all_stages(spark: SparkSession, csv_path: str, weather_json: str | None,
                    currency_json: str | None, events_json: str | None, root: str) -> DataFrame:
+    """Run every stage in order with tables under ``root``; returns the gold
+    view check.  A failing quality gate raises and stops the run."""
     t = Layout(root)
     # 1. raw batch (parsed rows spread over the cluster when the landing
     #    folder holds fewer files than there are cores)

@@ -58,6 +58,9 @@ def bronze_to_silver(raw: DataFrame, key: str = K.BOOKING_KEY,
                      rate_col: str = "eur_rate", truncate_numeric: bool = False,
                      language_map: Mapping[str, str] = K.LANGUAGE_BY_COUNTRY,
                      keep_language: bool = False) -> DataFrame:
+    """The silver rows of a raw booking table (JOB-1 without the write):
+    dedup on ``key`` -> row-wise clean-up -> key and rule filters ->
+    enrichment.  One shuffle (the dedup); everything else is narrow."""
     df = standardize(dedup_by_key(raw, key, dedup_order), language_map, keep_language)
     df = filter_valid(df, truncate_numeric)
     return enrich(df, rate_table=rate_table, rate_col=rate_col, weather_table=weather_table)

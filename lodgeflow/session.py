@@ -55,6 +55,9 @@ def shuffle_partitions_for(input_bytes: int, partition_bytes: int = 256 * 1024 *
 def get_session(master: str | None = None, app_name: str = "lodgeflow",
                 shuffle_partitions: int | None = None, extra: dict | None = None,
                 cluster: bool = False) -> SparkSession:
+    """A session with ``DEFAULT_CONF`` (and ``CLUSTER_CONF`` when ``cluster``)
+    filled in under whatever the submitter already set; explicit arguments
+    (``shuffle_partitions``, ``extra``) override both."""
     builder = SparkSession.builder.appName(app_name)
     if master:
         builder = builder.master(master)

@@ -94,6 +94,10 @@ def insert_new_rows(batch: DataFrame, target: str, keys: str | Sequence[str], lo
                     max_broadcast_rows: int = DEFAULT_BROADCAST_ROWS,
                     prune_by_key_range: bool = True,
                     max_pushed_keys: int = MAX_PUSHED_KEYS) -> None:
+    """Insert the rows of ``batch`` whose key is not yet in ``target`` (one
+    row per key, first in ``order_by``) as load ``load_id``; rows with a
+    known key are left untouched.  Calling it again with the same
+    ``load_id`` replaces that load instead of adding to it."""
     spark = batch.sparkSession
     keys = [keys] if isinstance(keys, str) else list(keys)
     fresh = dedup_by_key(batch, keys, order_by).persist(StorageLevel.MEMORY_AND_DISK)
