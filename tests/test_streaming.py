@@ -235,3 +235,21 @@ def test_pushed_keys_skip_row_groups_with_random_ids(spark, tmp_dir):
     assert read < 200_000 // 10  # nearly every row group skipped by its bloom filter
     insert_new_rows(batch, target, "booking_id", "s-1")
     assert spark.read.parquet(target).count() == 200_050
+
+
+def test_catalog_retry_replaces_only_its_load(spark):
+    """insertInto must honour dynamic partition overwrite: retrying one load
+    replaces that load and leaves every other load in place."""
+    name = "upsert_retry_catalog_test"
+    spark.sql(f"DROP TABLE IF EXISTS {name}")
+    assert spark.conf.get("spark.sql.sources.partitionOverwriteMode").lower() == "dynamic"
+    spark.conf.set("spark.sql.sources.partitionOverwriteMode", "static")  # the option alone must do it
+    try:
+        insert_new_rows(spark.createDataFrame([("a", 1, 0)], SCHEMA), name, "k", "s-0")
+        insert_new_rows(spark.createDataFrame([("b", 2, 0)], SCHEMA), name, "k", "s-1")
+        insert_new_rows(spark.createDataFrame([("b", 2, 0)], SCHEMA), name, "k", "s-1")  # retry
+        got = sorted((r["k"], r[LOAD_COL]) for r in spark.table(name).collect())
+        assert got == [("a", "s-0"), ("b", "s-1")]
+    finally:
+        spark.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
+        spark.sql(f"DROP TABLE IF EXISTS {name}")
