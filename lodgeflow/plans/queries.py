@@ -46,7 +46,8 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 # ---------------------------------------------------------------- role mapping
 
 def lineitem_bookings(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Raw (all-text) bookings: one per order line, hotel = part.
+    """Raw (all-text) bookings from line items, hotel = part: one per order
+    (``booking_id`` = order key), the order's first line in the total order.
 
     De-duplication runs on the typed scan (key ``l_orderkey``, every other
     column as the total order), i.e. on the keys as read.
