@@ -46,3 +46,25 @@ def test_dimension_side_is_broadcast(spark):
 def test_dedup_limits_before_shuffle(spark):
     p = Qs.q_dedup_by_key(spark, SF)._jdf.queryExecution().executedPlan().toString()
     assert "WindowGroupLimit" in p
+
+
+def _scans(df):
+    """(read schema, pushed filters) of every parquet scan in the physical plan."""
+    leaves = df._jdf.queryExecution().executedPlan().collectLeaves()
+    out = []
+    for i in range(leaves.size()):
+        meta = leaves.apply(i).toString()
+        if "parquet" in meta.lower():
+            out.append(meta)
+    return out
+
+
+def test_filters_reach_the_scan(spark):
+    scans = " ".join(_scans(Qs.q_logical_filter(spark, SF)))
+    assert "PushedFilters: [IsNotNull(l_extendedprice)" in scans
+
+
+def test_dimension_scan_reads_only_needed_columns(spark):
+    df = Qs.q_gold_kpi(spark, SF)
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    assert "ReadSchema: struct<p_partkey:bigint,p_name:string>" in plan
