@@ -22,6 +22,7 @@ from lodgeflow.functions import percent
 from lodgeflow.operators.lookup import lookup_constant
 from lodgeflow.operators.rules import (apply_business_rules, business_rule, drop_null_keys,
                                        null_key_predicate)
+from lodgeflow.session import is_path
 from lodgeflow.sinks.tables import key_bloom_options, overwrite
 from lodgeflow.streaming.upsert import LOAD_COL, read_target, run_upsert
 
@@ -116,7 +117,7 @@ def write_silver(df: DataFrame, target: str, load_id: str = "batch",
         out = out.sortWithinPartitions(LOAD_COL, *present)
     overwrite(out, target, partition_by=[LOAD_COL],
               options=key_bloom_options(present[0]) if present else None)
-    if ("/" in target or ":" in target) and read_target(df.sparkSession, target) is None:
+    if is_path(target) and read_target(df.sparkSession, target) is None:
         # no rows: a partitioned write leaves no file, so keep the schema
         # readable with an empty file in this load's partition folder
         df.limit(0).write.mode("overwrite").parquet(f"{target.rstrip('/')}/{LOAD_COL}={load_id}")

@@ -84,6 +84,12 @@ def get_session(master: str | None = None, app_name: str = "lodgeflow",
     return spark
 
 
+def is_path(target: str) -> bool:
+    """A folder or URI (``/lake/t``, ``s3a://b/t``) rather than a catalog
+    table name (``db.table``)."""
+    return "/" in target or ":" in target
+
+
 def checkpoint_root(spark: SparkSession) -> str:
     """The cluster's shared checkpoint folder (``spark.checkpoint.dir``).
 

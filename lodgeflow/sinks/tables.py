@@ -10,6 +10,8 @@ import json
 
 from pyspark.sql import DataFrame, SparkSession
 
+from lodgeflow.session import is_path
+
 
 def key_bloom_options(key: str, ndv: int = 200_000) -> dict:
     """Parquet writer options for a bloom filter on ``key`` in every row group,
@@ -25,7 +27,7 @@ def overwrite(df: DataFrame, target: str, partition_by: list[str] | None = None,
     w = df.write.mode("overwrite").format(fmt).options(**(options or {}))
     if partition_by:
         w = w.partitionBy(*partition_by)
-    if "/" in target or ":" in target:
+    if is_path(target):
         # replace every partition, whatever the session's overwrite mode is
         w.option("partitionOverwriteMode", "static").save(target)
     else:
@@ -35,7 +37,7 @@ def overwrite(df: DataFrame, target: str, partition_by: list[str] | None = None,
 def replace(spark: SparkSession, df: DataFrame, target: str, partition_by: list[str] | None = None,
             fmt: str = "parquet") -> None:
     """Drop and recreate with the new schema."""
-    if "/" not in target and ":" not in target:
+    if not is_path(target):
         spark.sql(f"DROP TABLE IF EXISTS {target}")
     overwrite(df, target, partition_by, fmt)
 

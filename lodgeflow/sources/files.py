@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
 from lodgeflow.constants import BATCH_SOURCE_NAME, RAW_BOOKING_COLUMNS
+from lodgeflow.session import is_path
 
 CSV_OPTIONS = {
     "header": "true",
@@ -63,13 +64,9 @@ def add_load_metadata(df: DataFrame, source: str | None = BATCH_SOURCE_NAME,
     return df.withColumns(cols)
 
 
-def _is_path(name_or_path: str) -> bool:
-    return "/" in name_or_path or ":" in name_or_path
-
-
 def read_table(spark: SparkSession, name_or_path: str, fmt: str = "parquet") -> DataFrame:
     """A catalog table (``db.table`` or ``catalog.db.table``) or a path."""
-    if _is_path(name_or_path):
+    if is_path(name_or_path):
         return spark.read.format(fmt).load(name_or_path)
     return spark.read.table(name_or_path)
 
@@ -78,7 +75,7 @@ def read_table_if_exists(spark: SparkSession, name_or_path: str, fmt: str = "par
     """The table, or None when it does not exist (catalog names are checked
     with ``catalog.tableExists``; a folder that cannot be read counts as
     missing).  Used for optional reference tables such as exchange rates."""
-    if not _is_path(name_or_path):
+    if not is_path(name_or_path):
         return spark.read.table(name_or_path) if spark.catalog.tableExists(name_or_path) else None
     try:
         return spark.read.format(fmt).load(name_or_path)

@@ -12,6 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import StructType
 
+from lodgeflow.session import is_path
 from lodgeflow.sources.files import RAW_BOOKING_SCHEMA
 
 # Lossless text form of timestamps in landed JSON (the default keeps only
@@ -69,7 +70,7 @@ def read_table_stream(spark: SparkSession, name_or_path: str, schema: StructType
 
     A folder needs its schema; it is taken from the table itself when not
     given (one metadata read, no data scan)."""
-    if "/" not in name_or_path and ":" not in name_or_path:
+    if not is_path(name_or_path):
         return spark.readStream.table(name_or_path)
     schema = schema or spark.read.format(fmt).load(name_or_path).schema
     reader = spark.readStream.schema(schema).format(fmt)

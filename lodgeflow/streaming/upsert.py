@@ -30,18 +30,15 @@ from pyspark.sql.streaming import StreamingQuery
 
 from lodgeflow.operators.dedup import dedup_by_key
 from lodgeflow.operators.joins import DEFAULT_BROADCAST_ROWS
+from lodgeflow.session import is_path
 from lodgeflow.sinks.tables import key_bloom_options
 
 LOAD_COL = "_load_id"
 
 
-def _is_path(target: str) -> bool:
-    return "/" in target or ":" in target
-
-
 def read_target(spark: SparkSession, target: str) -> DataFrame | None:
     """The target (a parquet folder or a catalog table), or None if absent."""
-    if not _is_path(target):
+    if not is_path(target):
         return spark.read.table(target) if spark.catalog.tableExists(target) else None
     try:
         return spark.read.parquet(target)
@@ -53,7 +50,7 @@ def write_load(df: DataFrame, target: str, exists: bool, options: dict | None =
     """Replace the ``_load_id`` partitions present in ``df`` and nothing else."""
     w = (df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
          .options(**(options or {})))
-    if _is_path(target):
+    if is_path(target):
         w.partitionBy(LOAD_COL).parquet(target)
     elif exists:
         w.insertInto(target)  # by position: ``df`` follows the table's column order
