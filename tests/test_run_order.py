@@ -107,3 +107,15 @@ def test_csv_split_options(spark, tmp_dir):
             assert df.count() == 50_000 and df.where("note = 'x, y'").count() == 50_000
     finally:
         spark.conf.unset("spark.sql.files.maxPartitionBytes")
+
+
+def test_command_line_gold(spark, tmp_dir, capsys):
+    from lodgeflow.__main__ import main
+    t = os.path.join(tmp_dir, "validated")
+    spark.createDataFrame([("B1", "H1", "Grand", "Rome", "IT", 1.0, 2.0, "2024-01-01", "2024-01-02", "1", "10")],
+                          "booking_id string, hotel_id string, hotel_name string, city string, country string, "
+                          "latitude double, longitude double, checkin_date string, checkout_date string, "
+                          "nights string, total_price string").write.parquet(t)
+    assert main(["gold", "--table", t], spark=spark) == 0
+    rows = [json.loads(line) for line in capsys.readouterr().out.splitlines()]
+    assert {r["view_name"]: r["probe_rows"] for r in rows} == {"fact_booking": 1, "dim_city": 1, "kpi_revenue": 1}
