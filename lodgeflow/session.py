@@ -56,31 +56,29 @@ def get_session(master: str | None = None, app_name: str = "lodgeflow",
                 shuffle_partitions: int | None = None, extra: dict | None = None,
                 cluster: bool = False) -> SparkSession:
     """A session with ``DEFAULT_CONF`` (and ``CLUSTER_CONF`` when ``cluster``)
-    filled in under whatever the submitter already set; explicit arguments
-    (``shuffle_partitions``, ``extra``) override both."""
-    builder = SparkSession.builder.appName(app_name)
+    filled in under whatever the submitter already set (``spark-submit
+    --conf``, spark-defaults); explicit arguments (``shuffle_partitions``,
+    ``extra``) override both.  The web UI stays off."""
+    builder = SparkSession.builder.appName(app_name).config("spark.ui.enabled", "false")
     if master:
         builder = builder.master(master)
-    # defaults and the cluster profile only fill in what the submitter did not
-    # set (spark-submit --conf, spark-defaults.conf); explicit arguments win
-    try:
-        from pyspark import SparkConf
-        present = {k for k, _ in SparkConf().getAll()}
-    except Exception:
-        present = set()
-    conf = {k: v for k, v in DEFAULT_CONF.items() if k not in present}
-    if cluster:
-        conf.update({k: v for k, v in CLUSTER_CONF.items() if k not in present})
+    explicit = dict(extra or {})
     if shuffle_partitions:
-        conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
-    conf.update(extra or {})
-    for k, v in conf.items():
+        explicit["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
+    for k, v in explicit.items():
         builder = builder.config(k, v)
     spark = builder.getOrCreate()
     try:
         spark.sparkContext.setLogLevel("ERROR")
-    except Exception:  # remote session
-        pass
+        present = {k for k, _ in spark.sparkContext.getConf().getAll()}
+    except Exception:  # remote session: leave its configuration alone
+        return spark
+    defaults = dict(DEFAULT_CONF)
+    if cluster:
+        defaults.update(CLUSTER_CONF)
+    for k, v in defaults.items():  # all runtime SQL settings
+        if k not in present and k != "spark.ui.enabled":
+            spark.conf.set(k, v)
     return spark
 
 

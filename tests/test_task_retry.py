@@ -49,3 +49,18 @@ def test_silver_job_survives_a_failed_task():
     result = json.loads(out.stdout.strip().splitlines()[-1])
     assert result["rows"] == 400
     assert result["metrics"]["rows_before"] == 1000 and result["metrics"]["rows_after"] == 400
+
+
+def test_submitter_settings_win_over_defaults():
+    script = (
+        "import sys; sys.path.insert(0, sys.argv[1])\n"
+        "from lodgeflow.session import get_session\n"
+        "s = get_session('local[1]', cluster=True)\n"
+        "print(s.conf.get('spark.sql.ansi.enabled'), s.conf.get('spark.sql.shuffle.partitions'),"
+        " s.conf.get('spark.ui.enabled'))\n")
+    env = dict(os.environ, PYSPARK_SUBMIT_ARGS="--conf spark.sql.ansi.enabled=false "
+                                               "--conf spark.sql.shuffle.partitions=7 pyspark-shell")
+    out = subprocess.run([sys.executable, "-c", script, ROOT], capture_output=True, text=True,
+                         timeout=300, env=env)
+    assert out.returncode == 0, out.stderr[-2000:]
+    assert out.stdout.split() == ["false", "7", "false"]  # submitter's values kept; UI default filled in
