@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lodgeflow.llm import binary_output, packing
+from lodgeflow.llm import binary_output, fingerprints, language_id, packing, quality_rules, secret_scan
 from lodgeflow.llm.shared import read
 from lodgeflow.session import shared_dir
 
@@ -18,6 +18,22 @@ def op1_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_digest(packing.pack(docs, public_tokenizers.path("byte_bpe_50k.json")))
 
 
+def op2_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fingerprints.compared(read(spark, sf_dir, "documents"))
+
+
+def op5_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secret_scan.scan_digest(secret_scan.scan(read(spark, sf_dir, "documents")))
+
+
+def op6_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return language_id.identified(read(spark, sf_dir, "documents"))
+
+
+def op9_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality_rules.scored(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"))
+
+
 def op10_binary_output(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = shared_dir(spark, "llm-token-ids")
     binary_output.write_ids(read(spark, sf_dir, "documents"), path, public_tokenizers.path("word_bpe_49k.json"))
@@ -27,6 +43,10 @@ def op10_binary_output(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_packing": op1_packing,
+    "op2_fingerprints": op2_fingerprints,
+    "op5_secret_scan": op5_secret_scan,
+    "op6_language_id": op6_language_id,
+    "op9_quality_rules": op9_quality_rules,
     "op10_binary_output": op10_binary_output,
 }
 
