@@ -8,7 +8,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lodgeflow.llm import binary_output, fingerprints, language_id, packing, quality_rules, secret_scan
+from lodgeflow.llm import (binary_output, fingerprints, language_id, license_scan, mixing, ngram_join, packing,
+                           quality_rules, secret_scan)
 from lodgeflow.llm.shared import read
 from lodgeflow.session import shared_dir
 
@@ -22,6 +23,10 @@ def op2_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fingerprints.compared(read(spark, sf_dir, "documents"))
 
 
+def op3_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return license_scan.scan(read(spark, sf_dir, "documents"))
+
+
 def op5_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secret_scan.scan_digest(secret_scan.scan(read(spark, sf_dir, "documents")))
 
@@ -30,6 +35,17 @@ def op6_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language_id.identified(read(spark, sf_dir, "documents"))
 
 
+def op7_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    labels = read(spark, sf_dir, "labels")
+    domain = F.when(labels["toxic"] == 1, "toxic").when(labels["quality"] == 0, "low").otherwise("clean")
+    return mixing.mixed(read(spark, sf_dir, "documents"), labels.select("doc_id", domain.alias("domain")),
+                        {"clean": 0.9, "low": 0.07, "toxic": 0.03})
+
+
+def op8_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ngram_join.linked(read(spark, sf_dir, "documents"), width=3, num=90, den=100)
+
+
 def op9_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules.scored(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"))
 
@@ -44,8 +60,11 @@ def op10_binary_output(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_packing": op1_packing,
     "op2_fingerprints": op2_fingerprints,
+    "op3_license_scan": op3_license_scan,
     "op5_secret_scan": op5_secret_scan,
     "op6_language_id": op6_language_id,
+    "op7_mixing": op7_mixing,
+    "op8_ngram_join": op8_ngram_join,
     "op9_quality_rules": op9_quality_rules,
     "op10_binary_output": op10_binary_output,
 }
