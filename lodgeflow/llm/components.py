@@ -39,7 +39,7 @@ def connected(links: DataFrame) -> DataFrame:
     seen = None
     while True:
         state = links.agg(F.count("*"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).head()
-        if seen == state:
+        if seen == state or not state[0]:
             break
         seen = state
         links = _star(_star(links, large=True), large=False).checkpoint()

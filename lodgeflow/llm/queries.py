@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lodgeflow.llm import (binary_output, fingerprints, language_id, license_scan, mixing, ngram_join, packing,
+from lodgeflow.llm import (binary_output, ego_join, fingerprints, language_id, license_scan, mixing, ngram_join, packing,
                            quality_rules, secret_scan)
 from lodgeflow.llm.shared import read
 from lodgeflow.session import shared_dir
@@ -27,6 +27,10 @@ def op3_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return license_scan.scan(read(spark, sf_dir, "documents"))
 
 
+def op4_ego_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ego_join.linked(read(spark, sf_dir, "embeddings"), 0.95)
+
+
 def op5_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secret_scan.scan_digest(secret_scan.scan(read(spark, sf_dir, "documents")))
 
@@ -61,6 +65,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_packing": op1_packing,
     "op2_fingerprints": op2_fingerprints,
     "op3_license_scan": op3_license_scan,
+    "op4_ego_join": op4_ego_join,
     "op5_secret_scan": op5_secret_scan,
     "op6_language_id": op6_language_id,
     "op7_mixing": op7_mixing,
