@@ -7,12 +7,13 @@ parts than k allows to differ by two or more, and each first part into second
 parts of which every set of all but one is enumerated: a signature is the part
 of a set that falls in there.  So similar sets share a signature for certain.
 
-Sets that share a signature are compared with the smallest of them only, which
-links a group of near copies by as many pairs as it has members.  Where that
-comparison fails, members are compared among each other, but only such pairs
-as are not connected yet and as the triangle inequality of the Jaccard
-distance leaves possible.  Every compared pair is decided by its exact count
-of common shingles, so no link between different components is lost.
+Sets that share a signature are first compared with one of them only, in a
+few rounds with another one each, which links a group of near copies by some
+pairs per member.  Then the members that are not connected yet are compared
+among each other.  Before a pair's shingles are looked at, a sketch of parities
+(1024 counters modulo 2) must leave a link possible: it bounds the number of
+differing elements from below, so nothing is lost.  Every pair that is left is
+decided by its exact count of common shingles.
 """
 
 from __future__ import annotations
@@ -33,6 +34,11 @@ _U = np.uint64
 PARTS = 3
 #: Ratio of a size band's ends.
 BAND = 1.5
+#: Counters of a set's sketch, and the 64-bit words that hold them.
+SKETCH = 1024
+_WORDS = [f"s{k}" for k in range(SKETCH // 64)]
+#: Rounds in which buckets are compared with one member.
+ROUNDS = 2
 #: Classes whose signatures a task remembers to have given out already.
 SEEN = 200_000
 
@@ -130,14 +136,20 @@ def signatures(values: np.ndarray, num: int, den: int) -> np.ndarray:
     return np.concatenate(out)
 
 
+def sketch(values: np.ndarray) -> np.ndarray:
+    """How many elements fall to each counter, modulo 2, in 64-bit words."""
+    at = (mix(values + _U(0x6C62272E07BB0142)) % _U(SKETCH)).astype(np.int64)
+    return np.packbits(np.bincount(at, minlength=SKETCH).astype(np.uint8) & 1, bitorder="little").view("<i8")
+
+
 def _node(values: np.ndarray) -> int:
     """The name of a set's class."""
     return int(mix(mix(values).sum(keepdims=True, dtype=np.uint64) + _U(len(values)))[0].astype(np.int64))
 
 
 def _classes(docs: DataFrame, width: int, num: int, den: int) -> DataFrame:
-    """(doc_id, n, node, signs), written once: ``node`` names the set's class
-    (null for an empty set); of a class that a task has met before, the
+    """(doc_id, n, node, signs, sketch), written once: ``node`` names the set's
+    class (null for an empty set); of a class that a task has met before, the
     signatures are left out."""
     kind = docs.schema["doc_id"].dataType.simpleString()
 
@@ -147,25 +159,28 @@ def _classes(docs: DataFrame, width: int, num: int, den: int) -> DataFrame:
             values = batch.column("text").to_pylist()
             for a, b in slices(values):
                 hashes, cuts = shingles(values[a:b], width)
-                nodes, signs = [], []
+                nodes, signs, sketches = [], [], []
                 for s, e in zip(cuts[:-1].tolist(), cuts[1:].tolist()):
                     if s == e:
                         nodes.append(None)
                         signs.append(None)
+                        sketches.append(None)
                         continue
                     own = hashes[s:e]
                     node = _node(own)
                     nodes.append(node)
                     signs.append(None if node in seen else signatures(own, num, den).astype(np.int64))
+                    sketches.append(sketch(own))
                     if len(seen) >= SEEN:
                         seen.clear()
                     seen.add(node)
                 yield pa.RecordBatch.from_arrays(
                     [batch.column("doc_id").slice(a, b - a), pa.array(np.diff(cuts), pa.int64()),
-                     pa.array(nodes, pa.int64()), pa.array(signs, pa.list_(pa.int64()))],
-                    ["doc_id", "n", "node", "signs"])
+                     pa.array(nodes, pa.int64()), pa.array(signs, pa.list_(pa.int64())),
+                     pa.array(sketches, pa.list_(pa.int64()))], ["doc_id", "n", "node", "signs", "sketch"])
 
-    return written(map_arrow(texts(docs), run, f"doc_id {kind}, n long, node long, signs array<long>"), "ngram-classes")
+    schema = f"doc_id {kind}, n long, node long, signs array<long>, sketch array<long>"
+    return written(map_arrow(texts(docs), run, schema), "ngram-classes")
 
 
 def _sets(docs: DataFrame, wanted: DataFrame, width: int) -> DataFrame:
@@ -186,18 +201,24 @@ def _sets(docs: DataFrame, wanted: DataFrame, width: int) -> DataFrame:
     return map_arrow(texts(docs).join(wanted, "doc_id").select("node", "text"), run, "node long, items array<long>")
 
 
-def _compared(pairs: DataFrame, docs: DataFrame, classes: DataFrame, width: int, num: int, den: int) -> DataFrame:
-    """(a, b, distance, linked) of each pair of nodes, written once."""
+def _possible(one: str, two: str, num: int, den: int):
+    """Whether sizes and sketches leave a link possible."""
+    x, y = (lambda c: F.col(f"{one}.{c}")), (lambda c: F.col(f"{two}.{c}"))
+    differ = sum((F.bit_count(x(w).bitwiseXOR(y(w))) for w in _WORDS), F.lit(0))
+    return ((den * F.least(x("n"), y("n")) >= num * F.greatest(x("n"), y("n")))
+            & (differ * (den + num) <= (x("n") + y("n")) * (den - num)))
+
+
+def _linked_of(pairs: DataFrame, docs: DataFrame, classes: DataFrame, width: int, num: int, den: int) -> DataFrame:
+    """The pairs (a, b) of nodes that link, by their common shingles; written once."""
     nodes = pairs.select(F.col("a").alias("node")).unionByName(pairs.select(F.col("b").alias("node"))).distinct()
     wanted = classes.where("doc_id is not null").join(nodes, "node").groupBy("node").agg(F.min("doc_id").alias("doc_id"))
     sets = _sets(docs, wanted, width).dropDuplicates(["node"])
     one = sets.select(F.col("node").alias("a"), F.col("items").alias("x"))
     two = sets.select(F.col("node").alias("b"), F.col("items").alias("y"))
     common = F.size(F.array_intersect("x", "y")).cast("long")
-    union = F.size("x") + F.size("y") - F.col("common")
-    return written(pairs.join(one, "a").join(two, "b").withColumn("common", common).select(
-        "a", "b", (1 - F.col("common") / union).alias("distance"),
-        (F.col("common") * den >= union * num).alias("linked")), "ngram-pairs")
+    return written(pairs.join(one, "a").join(two, "b").withColumn("common", common).where(
+        F.col("common") * den >= (F.size("x") + F.size("y") - F.col("common")) * num).select("a", "b"), "ngram-links")
 
 
 def linked(docs: DataFrame, width: int = 5, num: int = 80, den: int = 100) -> DataFrame:
@@ -210,30 +231,42 @@ def linked(docs: DataFrame, width: int = 5, num: int = 80, den: int = 100) -> Da
     documents of that id; a row without doc_id links with nothing and has no component id; an empty
     table gives an empty result; other columns are ignored."""
     classes = _classes(docs, width, num, den)
-    # equal (sign, node) rows are as many as tasks at most
-    signs = classes.where("doc_id is not null and signs is not null").select(
-        "node", "n", F.explode("signs").alias("sign"))
-    line = Window.partitionBy("sign").orderBy("n", "node")
-    met = signs.select("sign", "node", "n", F.first("node").over(line).alias("least")).where("node <> least")
-    met = written(met.distinct(), "ngram-met")
-    stars = _compared(met.select(F.col("least").alias("a"), F.col("node").alias("b")).distinct(),
-                      docs, classes, width, num, den)
-    links = stars.where("linked").select("a", "b")
-    labels = connected(links)
-    # buckets in which some member isn't linked with the least: compare the members that may be
-    told = met.join(stars.select(F.col("a").alias("least"), F.col("b").alias("node"), "distance", "linked"),
-                    ["least", "node"])
-    open_ = told.where("not linked").select("sign").distinct()
-    members = (told.join(open_, "sign", "left_semi").join(labels, "node", "left")
-               .select("sign", "node", "n", "distance", "linked", F.coalesce("label", "node").alias("label")))
-    one, two = members.alias("one"), members.alias("two")
-    near = F.abs(F.col("one.distance") - F.col("two.distance")) <= (den - num) / den + 1e-9
-    pairs = one.join(two, F.expr("one.sign = two.sign and one.node < two.node and one.label <> two.label "
-                                 "and not (one.linked and two.linked)")
-                     & near & F.expr(f"{den} * least(one.n, two.n) >= {num} * greatest(one.n, two.n)")).select(
-        F.col("one.node").alias("a"), F.col("two.node").alias("b")).distinct()
-    rest = _compared(written(pairs, "ngram-rest"), docs, classes, width, num, den)
-    labels = connected(links.unionByName(rest.where("linked").select("a", "b")))
+    signs = classes.where("doc_id is not null and signs is not null").select("node", F.explode("signs").alias("sign"))
+    # equal rows come at most once per task; the order makes them neighbours
+    line = Window.partitionBy("sign").orderBy("node")
+    met = written(signs.withColumns({"before": F.lag("node").over(line), "after": F.lead("node").over(line)})
+                  .where("(before is not null or after is not null) and (before is null or before <> node)")
+                  .select("sign", "node"), "ngram-met")
+    facts = classes.where("doc_id is not null and node is not null").select(
+        "node", "n", *[F.col("sketch")[k].alias(w) for k, w in enumerate(_WORDS)]).dropDuplicates(["node"])
+    links, labels = None, None
+
+    def still_open() -> DataFrame:
+        """(sign, node, label) of the buckets that hold more than one component."""
+        now = met.withColumn("label", F.col("node")) if labels is None else met.join(labels, "node", "left").select(
+            "sign", "node", F.coalesce("label", "node").alias("label"))
+        several = now.groupBy("sign").agg(F.min("label").alias("low"), F.max("label").alias("high")).where("low <> high")
+        return now.join(several.select("sign"), "sign", "left_semi")
+
+    for k in range(ROUNDS + 1):
+        members = still_open()
+        if k < ROUNDS:
+            # the same few members are taken in many buckets, so that pairs repeat
+            chosen = members.groupBy("sign").agg(F.min(F.struct(F.xxhash64("node", F.lit(k)).alias("order"), "node",
+                                                                "label")).alias("one"))
+            pairs = (members.join(chosen, "sign").where("one.label <> label")
+                     .select(F.least("node", "one.node").alias("a"), F.greatest("node", "one.node").alias("b")).distinct())
+            one = facts.select(F.struct("n", *_WORDS).alias("x"), F.col("node").alias("a"))
+            two = facts.select(F.struct("n", *_WORDS).alias("y"), F.col("node").alias("b"))
+            pairs = pairs.join(one, "a").join(two, "b").where(_possible("x", "y", num, den)).select("a", "b")
+        else:
+            full = members.join(facts, "node")
+            pairs = full.alias("x").join(full.alias("y"), F.expr(
+                "x.sign = y.sign and x.node < y.node and x.label <> y.label") & _possible("x", "y", num, den)).select(
+                F.col("x.node").alias("a"), F.col("y.node").alias("b")).distinct()
+        new = _linked_of(written(pairs, "ngram-pairs"), docs, classes, width, num, den)
+        links = new if labels is None else new.unionByName(labels.select(F.col("node").alias("a"), F.col("label").alias("b")))
+        labels = connected(links)
     named = classes.select("doc_id", "n", "node").join(labels, "node", "left").withColumn(
         "label", F.coalesce("label", "node"))
     first = named.where("label is not null and doc_id is not null").groupBy("label").agg(F.min("doc_id").alias("least"))
