@@ -22,7 +22,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from lodgeflow.llm.bytewords import LOWER, mix, run_hashes, text_bytes
@@ -39,6 +39,10 @@ SKETCH = 1024
 _WORDS = [f"s{k}" for k in range(SKETCH // 64)]
 #: Rounds in which buckets are compared with one member.
 ROUNDS = 2
+#: Rows of five numbers (40 MB) up to which a list of documents is broadcast.
+BROADCAST_ROWS = 1_000_000
+#: Texts that are compared with one text in a task.
+GROUP = 500
 #: Classes whose signatures a task remembers to have given out already.
 SEEN = 200_000
 
@@ -147,78 +151,103 @@ def _node(values: np.ndarray) -> int:
     return int(mix(mix(values).sum(keepdims=True, dtype=np.uint64) + _U(len(values)))[0].astype(np.int64))
 
 
-def _classes(docs: DataFrame, width: int, num: int, den: int) -> DataFrame:
-    """(doc_id, n, node, signs, sketch), written once: ``node`` names the set's
-    class (null for an empty set); of a class that a task has met before, the
-    signatures are left out."""
+def _classes(docs: DataFrame, width: int) -> DataFrame:
+    """(doc_id, n, node, sketch), written once: ``node`` names the set's class
+    (null for an empty set)."""
     kind = docs.schema["doc_id"].dataType.simpleString()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        seen: set[int] = set()
         for batch in batches:
             values = batch.column("text").to_pylist()
             for a, b in slices(values):
                 hashes, cuts = shingles(values[a:b], width)
-                nodes, signs, sketches = [], [], []
-                for s, e in zip(cuts[:-1].tolist(), cuts[1:].tolist()):
-                    if s == e:
-                        nodes.append(None)
-                        signs.append(None)
-                        sketches.append(None)
-                        continue
-                    own = hashes[s:e]
-                    node = _node(own)
-                    nodes.append(node)
-                    signs.append(None if node in seen else signatures(own, num, den).astype(np.int64))
-                    sketches.append(sketch(own))
-                    if len(seen) >= SEEN:
-                        seen.clear()
-                    seen.add(node)
+                sets = [hashes[s:e] for s, e in zip(cuts[:-1].tolist(), cuts[1:].tolist())]
                 yield pa.RecordBatch.from_arrays(
                     [batch.column("doc_id").slice(a, b - a), pa.array(np.diff(cuts), pa.int64()),
-                     pa.array(nodes, pa.int64()), pa.array(signs, pa.list_(pa.int64())),
-                     pa.array(sketches, pa.list_(pa.int64()))], ["doc_id", "n", "node", "signs", "sketch"])
+                     pa.array([_node(x) if len(x) else None for x in sets], pa.int64()),
+                     pa.array([sketch(x) if len(x) else None for x in sets], pa.list_(pa.int64()))],
+                    ["doc_id", "n", "node", "sketch"])
 
-    schema = f"doc_id {kind}, n long, node long, signs array<long>, sketch array<long>"
+    schema = f"doc_id {kind}, n long, node long, sketch array<long>"
     return written(map_arrow(texts(docs), run, schema), "ngram-classes")
 
 
-def _sets(docs: DataFrame, wanted: DataFrame, width: int) -> DataFrame:
-    """(node, items): the shingles of the wanted (doc_id, node)."""
+def _signed(docs: DataFrame, width: int, num: int, den: int) -> DataFrame:
+    """(node, sign) of every class; a task gives out a class it remembers once."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        seen: set[int] = set()
         for batch in batches:
             values = batch.column("text").to_pylist()
             for a, b in slices(values):
                 hashes, cuts = shingles(values[a:b], width)
-                nodes = batch.column("node").slice(a, b - a)
-                items = pa.ListArray.from_arrays(pa.array(cuts, pa.int32()), pa.array(hashes.astype(np.int64)))
-                # a doc_id may have more than one text
-                right = [s < e and _node(hashes[s:e]) == node
-                         for s, e, node in zip(cuts[:-1].tolist(), cuts[1:].tolist(), nodes.to_pylist())]
-                yield pa.RecordBatch.from_arrays([nodes, items], ["node", "items"]).filter(pa.array(right, pa.bool_()))
+                nodes, signs = [], []
+                for s, e in zip(cuts[:-1].tolist(), cuts[1:].tolist()):
+                    node = _node(hashes[s:e]) if s < e else None
+                    if node is None or node in seen:
+                        continue
+                    if len(seen) >= SEEN:
+                        seen.clear()
+                    seen.add(node)
+                    nodes.append(node)
+                    signs.append(signatures(hashes[s:e], num, den).astype(np.int64))
+                yield pa.RecordBatch.from_arrays([pa.array(nodes, pa.int64()), pa.array(signs, pa.list_(pa.int64()))],
+                                                 ["node", "signs"])
 
-    return map_arrow(texts(docs).join(wanted, "doc_id").select("node", "text"), run, "node long, items array<long>")
+    rows = texts(docs).where("doc_id is not null").select("text")
+    return map_arrow(rows, run, "node long, signs array<long>").select("node", F.explode("signs").alias("sign"))
 
 
-def _possible(one: str, two: str, num: int, den: int):
-    """Whether sizes and sketches leave a link possible."""
+def _differ(one: str, two: str) -> Column:
+    """At least so many elements differ, by the sketches."""
     x, y = (lambda c: F.col(f"{one}.{c}")), (lambda c: F.col(f"{two}.{c}"))
-    differ = sum((F.bit_count(x(w).bitwiseXOR(y(w))) for w in _WORDS), F.lit(0))
-    return ((den * F.least(x("n"), y("n")) >= num * F.greatest(x("n"), y("n")))
-            & (differ * (den + num) <= (x("n") + y("n")) * (den - num)))
+    return sum((F.bit_count(x(w).bitwiseXOR(y(w))) for w in _WORDS), F.lit(0))
+
+
+def _possible(one: str, two: str, num: int, den: int) -> Column:
+    """Whether sizes and sketches leave a link possible."""
+    n, m = F.col(f"{one}.n"), F.col(f"{two}.n")
+    return (den * F.least(n, m) >= num * F.greatest(n, m)) & (_differ(one, two) * (den + num) <= (n + m) * (den - num))
 
 
 def _linked_of(pairs: DataFrame, docs: DataFrame, classes: DataFrame, width: int, num: int, den: int) -> DataFrame:
-    """The pairs (a, b) of nodes that link, by their common shingles; written once."""
-    nodes = pairs.select(F.col("a").alias("node")).unionByName(pairs.select(F.col("b").alias("node"))).distinct()
-    wanted = classes.where("doc_id is not null").join(nodes, "node").groupBy("node").agg(F.min("doc_id").alias("doc_id"))
-    sets = _sets(docs, wanted, width).dropDuplicates(["node"])
-    one = sets.select(F.col("node").alias("a"), F.col("items").alias("x"))
-    two = sets.select(F.col("node").alias("b"), F.col("items").alias("y"))
-    common = F.size(F.array_intersect("x", "y")).cast("long")
-    return written(pairs.join(one, "a").join(two, "b").withColumn("common", common).where(
-        F.col("common") * den >= (F.size("x") + F.size("y") - F.col("common")) * num).select("a", "b"), "ngram-links")
+    """The pairs (a, b) of nodes that link, by their common shingles; written
+    once.  The texts of ``b`` meet that of ``a`` in one task; where an ``a`` has
+    many, they are dealt into groups with a copy of it in each."""
+    many = pairs.groupBy("a").agg(F.ceil(F.count("*") / GROUP).alias("groups"))
+    dealt = pairs.join(many, "a").select("a", "b", F.pmod(F.xxhash64("b"), F.col("groups")).alias("part"))
+    asked = dealt.select("a", "part", F.col("b").alias("node"), F.lit(1).alias("place")).unionByName(
+        dealt.select("a", "part", F.col("a").alias("node"), F.lit(0).alias("place")).distinct())
+    wanted = classes.where("doc_id is not null").join(asked.select("node").distinct(), "node", "left_semi").groupBy(
+        "node").agg(F.min("doc_id").alias("doc_id"))
+    asked = written(asked.join(wanted, "node"), "ngram-asked")
+    # few documents come this far as a rule: then the list goes to the texts, else both are dealt by id
+    if asked.count() <= BROADCAST_ROWS:
+        asked = F.broadcast(asked)
+    rows = (texts(docs).join(asked, "doc_id").select("a", "part", "place", "node", "text")
+            .repartition("a", "part").sortWithinPartitions("a", "part", "place", "node"))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, one = None, None
+        for batch in batches:
+            values, found = batch.column("text").to_pylist(), ([], [])
+            a, part, place, node = (batch.column(c).to_pylist() for c in ("a", "part", "place", "node"))
+            for start, stop in slices(values):
+                hashes, cuts = shingles(values[start:stop], width)
+                for k, s, e in zip(range(start, stop), cuts[:-1].tolist(), cuts[1:].tolist()):
+                    own = hashes[s:e]
+                    if s == e or _node(own) != node[k]:
+                        continue  # another text of the same doc_id
+                    if not place[k]:
+                        held, one = (a[k], part[k]), own
+                    elif held == (a[k], part[k]):
+                        common = len(np.intersect1d(one, own, assume_unique=True))
+                        if den * common >= num * (len(one) + len(own) - common):
+                            found[0].append(a[k])
+                            found[1].append(node[k])
+            yield pa.RecordBatch.from_arrays([pa.array(x, pa.int64()) for x in found], ["a", "b"])
+
+    return written(map_arrow(rows, run, "a long, b long").distinct(), "ngram-links")
 
 
 def linked(docs: DataFrame, width: int = 5, num: int = 80, den: int = 100) -> DataFrame:
@@ -230,16 +259,21 @@ def linked(docs: DataFrame, width: int = 5, num: int = 80, den: int = 100) -> Da
     repeated rows share a class; different texts of one doc_id are different
     documents of that id; a row without doc_id links with nothing and has no component id; an empty
     table gives an empty result; other columns are ignored."""
-    classes = _classes(docs, width, num, den)
-    signs = classes.where("doc_id is not null and signs is not null").select("node", F.explode("signs").alias("sign"))
-    # equal rows come at most once per task; the order makes them neighbours
+    classes = _classes(docs, width)
     line = Window.partitionBy("sign").orderBy("node")
-    met = written(signs.withColumns({"before": F.lag("node").over(line), "after": F.lead("node").over(line)})
-                  .where("(before is not null or after is not null) and (before is null or before <> node)")
-                  .select("sign", "node"), "ngram-met")
+    # equal rows (a class met by several tasks) first go, then buckets of one class
+    once = _signed(docs, width, num, den).withColumn("before", F.lag("node").over(line)).where(
+        "before is null or before <> node").select("sign", "node")
+    met = written(once.withColumns({"before": F.lag("node").over(line), "after": F.lead("node").over(line)})
+                  .where("before is not null or after is not null").select("sign", "node"), "ngram-met")
+    # near copies share many buckets: of buckets with the same members one is enough
+    alike = met.groupBy("sign").agg(F.count("*").alias("size"), F.min("node").alias("low"), F.max("node").alias("high"),
+                                    F.bit_xor(F.xxhash64("node")).alias("all"))
+    alike = alike.groupBy("size", "low", "high", "all").agg(F.min("sign").alias("sign"))
+    met = written(met.join(alike.select("sign"), "sign", "left_semi"), "ngram-buckets")
     facts = classes.where("doc_id is not null and node is not null").select(
         "node", "n", *[F.col("sketch")[k].alias(w) for k, w in enumerate(_WORDS)]).dropDuplicates(["node"])
-    links, labels = None, None
+    links, labels, done = None, None, None
 
     def still_open() -> DataFrame:
         """(sign, node, label) of the buckets that hold more than one component."""
@@ -254,17 +288,25 @@ def linked(docs: DataFrame, width: int = 5, num: int = 80, den: int = 100) -> Da
             # the same few members are taken in many buckets, so that pairs repeat
             chosen = members.groupBy("sign").agg(F.min(F.struct(F.xxhash64("node", F.lit(k)).alias("order"), "node",
                                                                 "label")).alias("one"))
-            pairs = (members.join(chosen, "sign").where("one.label <> label")
-                     .select(F.least("node", "one.node").alias("a"), F.greatest("node", "one.node").alias("b")).distinct())
+            pairs = members.join(chosen, "sign").where("one.label <> label").select(
+                F.col("one.node").alias("a"), F.col("node").alias("b")).distinct()
             one = facts.select(F.struct("n", *_WORDS).alias("x"), F.col("node").alias("a"))
             two = facts.select(F.struct("n", *_WORDS).alias("y"), F.col("node").alias("b"))
-            pairs = pairs.join(one, "a").join(two, "b").where(_possible("x", "y", num, den)).select("a", "b")
+            # of those that a member is held against in a round, the nearest by sketch
+            pairs = (pairs.join(one, "a").join(two, "b").where(_possible("x", "y", num, den))
+                     .groupBy("b").agg(F.min(F.struct(_differ("x", "y").alias("differ"), "a")).alias("best"))
+                     .select("best.a", "b"))
         else:
             full = members.join(facts, "node")
             pairs = full.alias("x").join(full.alias("y"), F.expr(
                 "x.sign = y.sign and x.node < y.node and x.label <> y.label") & _possible("x", "y", num, den)).select(
                 F.col("x.node").alias("a"), F.col("y.node").alias("b")).distinct()
-        new = _linked_of(written(pairs, "ngram-pairs"), docs, classes, width, num, den)
+        if done is not None:  # what was compared before
+            pairs = pairs.join(done, ["a", "b"], "left_anti")
+        pairs = written(pairs, "ngram-pairs")
+        turned = pairs.unionByName(pairs.select(F.col("a").alias("b"), F.col("b").alias("a")))
+        done = turned if done is None else done.unionByName(turned)
+        new = _linked_of(pairs, docs, classes, width, num, den)
         links = new if labels is None else new.unionByName(labels.select(F.col("node").alias("a"), F.col("label").alias("b")))
         labels = connected(links)
     named = classes.select("doc_id", "n", "node").join(labels, "node", "left").withColumn(

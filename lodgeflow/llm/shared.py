@@ -70,7 +70,7 @@ def crc_mod(column: str, n: int) -> Column:
     return F.pmod(F.crc32(F.col(column).cast("string").cast("binary")), F.lit(n))
 
 
-def slices(values: list[str], limit: int = 4_000_000) -> Iterator[tuple[int, int]]:
+def slices(values: list[str], limit: int = 1_000_000) -> Iterator[tuple[int, int]]:
     """Index ranges of about ``limit`` characters each, so that what Python
     holds at a time does not depend on how rows were put into Arrow batches."""
     start = size = 0

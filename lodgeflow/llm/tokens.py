@@ -21,9 +21,9 @@ from lodgeflow.llm.shared import slices
 
 #: Pre-tokens remembered per Python worker (about 40 bytes each); beyond it
 #: the store starts anew.
-MAX_PIECES = 2_000_000
+MAX_PIECES = 1_000_000
 #: Characters that are cut and looked up at a time.
-SLICE = 2_000_000
+SLICE = 1_000_000
 
 _END, _LETTER, _DIGIT, _OTHER, _SPACE, _UNSURE = range(6)
 _CLASS = np.full(256, _UNSURE, dtype=np.uint8)
