@@ -6,6 +6,10 @@ differ in at most k elements.  The feature domain is dealt into more first
 parts than k allows to differ by two or more, and each first part into second
 parts of which every set of all but one is enumerated: a signature is the part
 of a set that falls in there.  So similar sets share a signature for certain.
+Small sets leave such parts empty, and an empty part would put all of them into
+one bucket; where few elements may differ there is one level of more parts than
+that, and every choice of three of them is a signature.  Where none may differ,
+similar sets are equal and need no signature.
 
 Sets that share a signature are first compared with one of them only, in a
 few rounds with another one each, which links a group of near copies by some
@@ -19,6 +23,7 @@ decided by its exact count of common shingles.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from itertools import combinations
 
 import numpy as np
 import pyarrow as pa
@@ -32,6 +37,9 @@ from lodgeflow.llm.shared import map_arrow, slices, texts, written
 _U = np.uint64
 #: Second parts; one of them is left out in turn.
 PARTS = 3
+#: Differing elements up to which one level of parts is enough, and how many of
+#: its parts a signature takes (at most 35 choices).
+FEW, TAKEN = 4, 3
 #: Ratio of a size band's ends.
 BAND = 1.5
 #: Counters of a set's sketch, and the 64-bit words that hold them.
@@ -121,6 +129,16 @@ def signatures(values: np.ndarray, num: int, den: int) -> np.ndarray:
         low, differ = wider[b]
         if b > at and den * n < num * low:
             break  # too small for any set of the next band
+        if not differ:
+            continue
+        if differ <= FEW:  # at least TAKEN of the parts agree wholly
+            parts = differ + TAKEN
+            cell = (spread % _U(parts)).astype(np.int64)
+            total = _sums(content, cell, parts)
+            chosen = np.array(list(combinations(range(parts), TAKEN)))
+            place = np.arange(len(chosen), dtype=np.uint64) + _U((b << 40) + (1 << 39))
+            out.append(mix(total[chosen].sum(axis=1, dtype=np.uint64) + mix(place + _U(1))))
+            continue
         # parts of which at least `agree` hold at most one differing element
         parts = differ // 2 + 1
         agree = 1 + parts // 12 + (parts > 1)
@@ -137,7 +155,7 @@ def signatures(values: np.ndarray, num: int, den: int) -> np.ndarray:
         # that all agreeing parts may be
         empty = left == 0
         out.append(sign[~empty] if empty.any(axis=1).sum() < agree else sign.ravel())
-    return np.concatenate(out)
+    return np.concatenate(out) if out else np.zeros(0, dtype=np.uint64)
 
 
 def sketch(values: np.ndarray) -> np.ndarray:
