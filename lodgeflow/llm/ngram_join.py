@@ -42,9 +42,8 @@ PARTS = 3
 FEW, TAKEN = 4, 3
 #: Ratio of a size band's ends.
 BAND = 1.5
-#: Counters of a set's sketch, and the 64-bit words that hold them.
+#: Counters of a set's sketch (held in 64-bit words).
 SKETCH = 1024
-_WORDS = [f"s{k}" for k in range(SKETCH // 64)]
 #: Rounds in which buckets are compared with one member.
 ROUNDS = 2
 #: Rows of five numbers (40 MB) up to which a list of documents is broadcast.
@@ -218,8 +217,9 @@ def _signed(docs: DataFrame, width: int, num: int, den: int) -> DataFrame:
 
 def _differ(one: str, two: str) -> Column:
     """At least so many elements differ, by the sketches."""
-    x, y = (lambda c: F.col(f"{one}.{c}")), (lambda c: F.col(f"{two}.{c}"))
-    return sum((F.bit_count(x(w).bitwiseXOR(y(w))) for w in _WORDS), F.lit(0))
+    # one column each: the optimizer's work on a condition doubles with every column that it renames
+    x, y = F.col(f"{one}.sketch"), F.col(f"{two}.sketch")
+    return sum((F.bit_count(x[k].bitwiseXOR(y[k])) for k in range(SKETCH // 64)), F.lit(0))
 
 
 def _possible(one: str, two: str, num: int, den: int) -> Column:
@@ -289,8 +289,10 @@ def linked(docs: DataFrame, width: int = 5, num: int = 80, den: int = 100) -> Da
                                     F.bit_xor(F.xxhash64("node")).alias("all"))
     alike = alike.groupBy("size", "low", "high", "all").agg(F.min("sign").alias("sign"))
     met = written(met.join(alike.select("sign"), "sign", "left_semi"), "ngram-buckets")
-    facts = classes.where("doc_id is not null and node is not null").select(
-        "node", "n", *[F.col("sketch")[k].alias(w) for k, w in enumerate(_WORDS)]).dropDuplicates(["node"])
+    words = [f"s{k}" for k in range(SKETCH // 64)]  # numbers, so that rows are told apart by hash and not by sorting
+    facts = written(classes.where("doc_id is not null and node is not null").select(
+        "node", "n", *[F.col("sketch")[k].alias(w) for k, w in enumerate(words)]).dropDuplicates(["node"]).select(
+        "node", "n", F.array(*words).alias("sketch")), "ngram-facts")
     links, labels, done = None, None, None
 
     def still_open() -> DataFrame:
@@ -308,8 +310,8 @@ def linked(docs: DataFrame, width: int = 5, num: int = 80, den: int = 100) -> Da
                                                                 "label")).alias("one"))
             pairs = members.join(chosen, "sign").where("one.label <> label").select(
                 F.col("one.node").alias("a"), F.col("node").alias("b")).distinct()
-            one = facts.select(F.struct("n", *_WORDS).alias("x"), F.col("node").alias("a"))
-            two = facts.select(F.struct("n", *_WORDS).alias("y"), F.col("node").alias("b"))
+            one = facts.select(F.struct("n", "sketch").alias("x"), F.col("node").alias("a"))
+            two = facts.select(F.struct("n", "sketch").alias("y"), F.col("node").alias("b"))
             # of those that a member is held against in a round, the nearest by sketch
             pairs = (pairs.join(one, "a").join(two, "b").where(_possible("x", "y", num, den))
                      .groupBy("b").agg(F.min(F.struct(_differ("x", "y").alias("differ"), "a")).alias("best"))
