@@ -166,7 +166,9 @@ def fit_rules(x: np.ndarray, y: np.ndarray, trees: int = 30, depth: int = 3, rat
     w = np.zeros(z.shape[1], dtype=np.float32)
     v, b, t = w.copy(), start, 1.0
     # largest curvature by power iteration: the step of the proximal gradient
-    u = np.ones(z.shape[1], dtype=np.float32)
+    # (from no special direction: opposite rules would cancel out)
+    u = np.random.default_rng(0).normal(size=z.shape[1]).astype(np.float32)
+    u /= np.linalg.norm(u)
     for _ in range(15):
         u = z.T @ (z @ u) / len(y)
         top = float(np.linalg.norm(u))
