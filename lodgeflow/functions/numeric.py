@@ -31,9 +31,11 @@ def as_decimal(col: str | Column, precision: int = 18, scale: int = 2) -> Column
 
 def percent(part: str | Column, total: str | Column, places: int = 2,
             zero_total: float | None = None) -> Column:
-    """``round(100 * part / total, places)`` computed exactly, half up.
+    """``round(100 * part / total, places)`` computed exactly, ties to even.
 
-    Counts are integers, so the rounding is done in integer arithmetic and only
+    A tie is an exact half of the last place; rounding a binary float can differ
+    where 100 * part / total is a tie that binary floats do not hold exactly
+    (1.005, say).  Counts are integers, so the rounding is done in integer arithmetic and only
     the final value becomes a double: the result does not depend on how the
     engine rounds binary floats.  ``total = 0`` gives ``zero_total`` (null by
     default).
@@ -44,6 +46,8 @@ def percent(part: str | Column, total: str | Column, places: int = 2,
     den = t * F.lit(2)
     # exact floor division: remove the remainder first, the quotient is whole
     scaled = ((num - F.pmod(num, den)) / den).cast("decimal(38,0)")
+    odd_tie = (F.pmod(num, den) == 0) & (F.pmod(scaled, F.lit(2)) == 1)
+    scaled = F.when(odd_tie, scaled - 1).otherwise(scaled)
     value = scaled.cast("double") / F.lit(float(scale))
     fallback = F.lit(None).cast("double") if zero_total is None else F.lit(float(zero_total))
     return F.when(t == 0, fallback).otherwise(value)

@@ -61,13 +61,15 @@ def validate_gold_views(spark: SparkSession,
                         ) -> DataFrame:
     """Existence test for every view, then a one-row probe of each.
 
-    Returns ``(view_name, view_exists, probe_rows)``; each probe reads at most
-    one row of its view (``LIMIT 1``).  Raises when a view is missing.
+    Returns ``(view_name, view_exists, probe_rows)``; each probe takes one row
+    of its view (``LIMIT 1``) with all its columns, so a view that cannot be
+    evaluated fails the check.  Raises when a view is missing.
     """
     missing = [n for n in names if not spark.catalog.tableExists(n)]
     if missing:
         raise GoldViewsMissing(f"Gold layer views are missing: {', '.join(missing)}")
-    probes = [spark.table(n).limit(1).agg(F.count(F.lit(1)).alias("probe_rows"))
+    # the row itself is gathered: a mere count would read no column
+    probes = [spark.table(n).limit(1).agg(F.size(F.collect_list(F.struct("*"))).cast("long").alias("probe_rows"))
               .select(F.lit(n).alias("view_name"), F.lit(True).alias("view_exists"), "probe_rows")
               for n in names]
     out = probes[0]

@@ -22,9 +22,10 @@ def initcap(x: str) -> str:
 
 
 def pct(part: str, total: str, zero: str = "NULL") -> str:
-    """round(100 * part / total, 2), half up, in exact integer arithmetic."""
-    return (f"CASE WHEN ({total}) = 0 THEN {zero} ELSE "
-            f"CAST((20000 * CAST(({part}) AS HUGEINT) + ({total})) // (2 * CAST(({total}) AS HUGEINT)) AS DOUBLE) / 100.0 END")
+    """round(100 * part / total, 2), ties to even, in exact integer arithmetic."""
+    num, den = f"(20000 * CAST(({part}) AS HUGEINT) + ({total}))", f"(2 * CAST(({total}) AS HUGEINT))"
+    odd_tie = f"CASE WHEN {num} % {den} = 0 AND ({num} // {den}) % 2 = 1 THEN 1 ELSE 0 END"
+    return f"CASE WHEN ({total}) = 0 THEN {zero} ELSE CAST({num} // {den} - {odd_tie} AS DOUBLE) / 100.0 END"
 
 
 def _q(s: str) -> str:
@@ -263,7 +264,8 @@ WHERE hotel_id IS NOT NULL AND booking_id IS NOT NULL
   AND price_n > 0 AND adults_n > 0 AND star_n BETWEEN 1 AND 5 AND nights_n > 0"""
 
 ORACLE_SQL["silver_stream_upsert"] = """
-SELECT event_id, ts, user_id, event_type, value, props, CAST(CAST(ts AS DATE) AS VARCHAR) AS day
+SELECT event_id, ts, user_id, event_type, CASE WHEN ts < TIMESTAMP '2024-01-16' THEN value + 1000 ELSE value END AS value,
+       props, CAST(CAST(ts AS DATE) AS VARCHAR) AS day
 FROM events
 QUALIFY row_number() OVER (PARTITION BY user_id, CAST(ts AS DATE) ORDER BY ts, event_id) = 1"""
 

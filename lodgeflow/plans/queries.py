@@ -345,13 +345,15 @@ def q_silver_batch(spark: SparkSession, sf_dir: str) -> DataFrame:
 def q_silver_stream_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Seed the target with the first half of the month (batch), then stream
     every event through the insert-only upsert keyed on (user, day): keys
-    already present stay as they are, new keys are inserted once."""
+    already present stay as they are (the seed's values differ from the
+    stream's by 1000, so an overwritten row would show), new keys are inserted
+    once."""
     base = shared_dir(spark, "silver_stream")
     target = f"{base}/silver_events"
     e = _events(spark, sf_dir).withColumn("day", F.col("ts").cast("date").cast("string"))
     keys, order = ["user_id", "day"], [F.col("ts").asc(), F.col("event_id").asc()]
     seed = dedup_by_key(e.where(F.col("ts") < F.lit("2024-01-16").cast("timestamp_ntz")), keys, order)
-    write_silver(seed, target, keys=keys)
+    write_silver(seed.withColumn("value", F.col("value") + 1000), target, keys=keys)
     # one file per day, so every key's rows arrive in one micro-batch
     e.repartition("day").write.mode("overwrite").options(**JSON_TIMESTAMP_OPTIONS).json(f"{base}/landing")
     stream = read_event_stream(spark, f"{base}/landing", e.schema, max_files_per_trigger=4)

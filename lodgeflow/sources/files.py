@@ -73,11 +73,22 @@ def read_table(spark: SparkSession, name_or_path: str, fmt: str = "parquet") ->
 
 def read_table_if_exists(spark: SparkSession, name_or_path: str, fmt: str = "parquet") -> DataFrame | None:
     """The table, or None when it does not exist (catalog names are checked
-    with ``catalog.tableExists``; a folder that cannot be read counts as
-    missing).  Used for optional reference tables such as exchange rates."""
+    with ``catalog.tableExists``).  Used for optional reference tables such as exchange rates."""
     if not is_path(name_or_path):
         return spark.read.table(name_or_path) if spark.catalog.tableExists(name_or_path) else None
+    return read_path_if_exists(spark, name_or_path, fmt)
+
+
+#: Error conditions of a path that is absent or holds no file.
+MISSING = {"PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"}
+
+
+def read_path_if_exists(spark: SparkSession, path: str, fmt: str = "parquet") -> DataFrame | None:
+    """The folder's rows, or None when it is absent or holds no file; every
+    other error is raised."""
     try:
-        return spark.read.format(fmt).load(name_or_path)
-    except AnalysisException:
-        return None
+        return spark.read.format(fmt).load(path)
+    except AnalysisException as e:
+        if e.getCondition() in MISSING:
+            return None
+        raise

@@ -26,12 +26,13 @@ from pyspark import StorageLevel
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from lodgeflow.operators.dedup import dedup_by_key
-from lodgeflow.operators.joins import DEFAULT_BROADCAST_ROWS
 from lodgeflow.session import is_path
 from lodgeflow.sinks.tables import key_bloom_options
+from lodgeflow.sources.files import MISSING, read_path_if_exists
 
 LOAD_COL = "_load_id"
 
@@ -40,10 +41,7 @@ def read_target(spark: SparkSession, target: str) -> DataFrame | None:
     """The target (a parquet folder or a catalog table), or None if absent."""
     if not is_path(target):
         return spark.read.table(target) if spark.catalog.tableExists(target) else None
-    try:
-        return spark.read.parquet(target)
-    except AnalysisException:
-        return None
+    return read_path_if_exists(spark, target)
 
 
 def write_load(df: DataFrame, target: str, exists: bool, options: dict | None = None) -> None:
@@ -72,63 +70,58 @@ def align_to(df: DataFrame, target: DataFrame) -> DataFrame:
     return df.select(*cols)
 
 
-def batch_stats(df: DataFrame, keys: Sequence[str]) -> tuple[int, tuple | None]:
-    """Row count and the (min, max) of the first key column, in one small job
-    over the persisted micro-batch."""
-    r = df.agg(F.count(F.lit(1)).alias("n"), F.min(keys[0]).alias("lo"),
-               F.max(keys[0]).alias("hi")).first()
-    return r["n"], (None if r["lo"] is None else (r["lo"], r["hi"]))
+def key_range(fresh: DataFrame, key: str) -> Column | None:
+    """``key`` between its smallest and largest value in ``fresh``, as literals
+    (a scalar subquery would not reach the parquet scan), or None where no
+    value is there or the type does not survive the way exactly.  Timestamps
+    go as microseconds, so no time zone has a say."""
+    kind = fresh.schema[key].dataType
+    if isinstance(kind, T.TimestampType):
+        plain, typed = F.unix_micros(key), F.timestamp_micros
+    elif isinstance(kind, (T.StringType, T.IntegralType, T.DateType)):
+        plain, typed = F.col(key), lambda x: x
+    else:
+        return None
+    low, high = fresh.agg(F.min(plain), F.max(plain)).first()
+    return None if low is None else F.col(key).between(typed(F.lit(low)), typed(F.lit(high)))
+
 
+def known_keys(current: DataFrame, fresh: DataFrame, keys: Sequence[str], prune_by_key_range: bool = True) -> DataFrame:
+    """Keys of ``fresh`` that ``current`` holds.
 
-# A micro-batch with at most this many rows also pushes its keys into the
-# target scan as ``key IN (...)``: with the bloom filters written on the key,
-# row groups holding none of them are skipped even when keys are random.
-MAX_PUSHED_KEYS = 1000
+    Only the key columns are read, and only in the range of the first key in
+    ``fresh``, which skips row groups (silver files are sorted by key, see
+    ``write_silver``).  The join strategy is left to the measured sizes."""
+    held = current.select(*keys)
+    inside = key_range(fresh, keys[0]) if prune_by_key_range else None
+    if inside is not None:
+        held = held.where(inside)
+    return held.join(fresh.select(*keys), keys, "left_semi").distinct()
 
 
 def insert_new_rows(batch: DataFrame, target: str, keys: str | Sequence[str], load_id: str,
-                    order_by: Sequence[Column] | None = None,
-                    max_broadcast_rows: int = DEFAULT_BROADCAST_ROWS,
-                    prune_by_key_range: bool = True,
-                    max_pushed_keys: int = MAX_PUSHED_KEYS) -> None:
+                    order_by: Sequence[Column] | None = None, prune_by_key_range: bool = True,
+                    bloom_keys: int = 50_000) -> None:
     """Insert the rows of ``batch`` whose key is not yet in ``target`` (one
     row per key, first in ``order_by``) as load ``load_id``; rows with a
     known key are left untouched.  Calling it again with the same
-    ``load_id`` replaces that load instead of adding to it."""
+    ``load_id`` replaces that load instead of adding to it.  ``bloom_keys``
+    sizes the bloom filter on the key in each written row group."""
     spark = batch.sparkSession
     keys = [keys] if isinstance(keys, str) else list(keys)
     fresh = dedup_by_key(batch, keys, order_by).persist(StorageLevel.MEMORY_AND_DISK)
     try:
         current = read_target(spark, target)
-        rows, rng = batch_stats(fresh, keys)
         if current is not None:
-            # only the key columns of the target are read (column pruning)
-            target_keys = current.where(F.col(LOAD_COL) != F.lit(load_id)).select(*keys)
-            if prune_by_key_range and rng is not None:
-                # exact: a target row whose (first) key lies outside the
-                # batch's range cannot match.
-                # The range reaches the parquet scan, so row groups whose
-                # min/max lie outside it are skipped (silver files are sorted
-                # by key, see write_silver).
-                target_keys = target_keys.where(F.col(keys[0]).between(F.lit(rng[0]), F.lit(rng[1])))
-            if 0 < rows <= max_pushed_keys:
-                # bounded: at most max_pushed_keys values reach the driver
-                pushed = [r[0] for r in fresh.select(keys[0]).distinct().collect() if r[0] is not None]
-                target_keys = target_keys.where(F.col(keys[0]).isin(pushed))
-            small = rows <= max_broadcast_rows
-            batch_keys = fresh.select(*keys)
-            # keys of this batch that already exist: the big side is never shuffled
-            # when the batch is small, and the result is no larger than the batch
-            hit = target_keys.join(F.broadcast(batch_keys) if small else batch_keys,
-                                   keys, "left_semi").distinct()
-            out = align_to(fresh.join(F.broadcast(hit) if small else hit, keys, "left_anti"), current)
+            others = current.where(F.col(LOAD_COL) != F.lit(load_id))
+            hit = known_keys(others, fresh, keys, prune_by_key_range)
+            out = align_to(fresh.join(hit, keys, "left_anti"), current)
         else:
             out = fresh
         # sorted by key inside each file: tight row-group min/max statistics,
-        # so the key-range filter above skips most of the target
+        # so the key range above skips most of the target
         write_load(out.withColumn(LOAD_COL, F.lit(load_id)).sortWithinPartitions(LOAD_COL, *keys),
-                   target, current is not None,
-                   key_bloom_options(keys[0], ndv=min(200_000, max(1_000, rows))))
+                   target, current is not None, key_bloom_options(keys[0], ndv=bloom_keys))
     finally:
         fresh.unpersist()
 
@@ -138,7 +131,9 @@ def stream_identity(spark: SparkSession, checkpoint: str) -> str:
     path = checkpoint.rstrip("/") + "/lodgeflow_stream_id"
     try:
         return spark.read.text(path).first()[0]
-    except AnalysisException:
+    except AnalysisException as e:
+        if e.getCondition() not in MISSING:
+            raise
         sid = uuid.uuid4().hex[:16]
         spark.createDataFrame([(sid,)], "value string").coalesce(1).write.mode("overwrite").text(path)
         return spark.read.text(path).first()[0]

@@ -57,5 +57,6 @@ def test_percent_exact_half_up_and_zero(spark):
     df = spark.createDataFrame([(1, 8), (1, 3), (2, 3), (0, 0), (1, 200000)], "p long, t long")
     got = [r[0] for r in df.select(percent("p", "t")).collect()]
     assert got == [12.5, 33.33, 66.67, None, 0.0]
+    assert df.limit(1).select(percent(F.lit(1), F.lit(32)), percent(F.lit(3), F.lit(32))).first()[:] == (3.12, 9.38)
     zero = df.where("t = 0").select(percent("p", "t", zero_total=0.0)).first()[0]
     assert zero == 0.0

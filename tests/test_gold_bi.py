@@ -46,6 +46,9 @@ def test_views_and_validation(spark):
     gold.register_gold_views(spark, validated(spark))
     got = {r["view_name"]: r["probe_rows"] for r in gold.validate_gold_views(spark).collect()}
     assert got == {"fact_booking": 1, "dim_city": 1, "kpi_revenue": 1}
+    spark.range(3).selectExpr("id", "raise_error('broken') AS city").createOrReplaceTempView("dim_city")
+    with pytest.raises(Exception, match="broken"):
+        gold.validate_gold_views(spark).collect()
     spark.catalog.dropTempView("dim_city")
     with pytest.raises(gold.GoldViewsMissing):
         gold.validate_gold_views(spark)

@@ -20,7 +20,7 @@ def py_percent(p, t):
     if t == 0:
         return None
     q = Fraction(100 * p, t)
-    return float(int(q * 100 + Fraction(1, 2))) / 100
+    return float(round(q * 100)) / 100  # a fraction's round is exact, ties to even
 
 
 @SETTINGS
