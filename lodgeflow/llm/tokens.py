@@ -6,8 +6,9 @@ the library encodes each pre-token that the worker has not met yet; and a
 text's ids are its pre-tokens' ids in a row.  The cutting follows the patterns
 of the vocabulary files for characters on whose class all Unicode versions
 agree (printable ASCII, white space, À to ÿ).  A text with any other
-character, and any text of a vocabulary with other patterns, goes through the
-library whole.
+character, a text that quotes an added token of the file (the library makes it
+that token), and any text of a vocabulary with other patterns, goes through
+the library whole.
 """
 
 from __future__ import annotations
@@ -85,7 +86,8 @@ class Encoder:
         with open(path, encoding="utf-8") as f:
             kind = json.load(f)
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True  # their strings are ordinary text
+        added = kind.get("added_tokens") or ()
+        self.added = [x["content"] for x in added if x["content"]]
         pre, normal = kind["pre_tokenizer"] or {}, kind["normalizer"] or {}
         self.cuts = self.lower = False
         if pre.get("type") == "ByteLevel" and pre["use_regex"] and not pre["add_prefix_space"] and not normal:
@@ -93,6 +95,8 @@ class Encoder:
         elif ([x["type"] for x in pre.get("pretokenizers", ())] == ["Split", "ByteLevel"]
               and [x["type"] for x in normal.get("normalizers", ())] == ["NFC", "Replace", "Lowercase"]):
             self.cuts = self.lower = True
+        if any(x.get("normalized") for x in added):
+            self.cuts = False  # found in the normalized text, which is the library's
         if self.cuts:
             [[self.zero]] = self._library(["\0"])
         self._forget()
@@ -149,6 +153,8 @@ class Encoder:
             sure[np.searchsorted(begins, inner, "right") - 1] = False
         if not self.cuts:
             sure[:] = False
+        for token in self.added:
+            sure[[k for k, t in enumerate(texts) if token in t]] = False
         if self.lower:
             data = data.copy()
             data[(data >= 65) & (data < 91)] += 32
