@@ -8,8 +8,9 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lodgeflow.llm import (binary_output, ego_join, fingerprints, language_id, license_scan, mixing, ngram_join, packing,
-                           quality_rules, secret_scan)
+from lodgeflow.llm import (binary_output, ego_join, filter_audit, fingerprints, importance, language_id, license_scan,
+                           line_dedup, mixing, ngram_join, packing, quality_rules, secret_scan)
+from lodgeflow.llm.oracle import ORACLE_SQL  # noqa: F401
 from lodgeflow.llm.shared import read
 from lodgeflow.session import shared_dir
 
@@ -61,6 +62,18 @@ def op10_binary_output(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", "start", F.col("n_ids").alias("n_tokens"), F.crc32("ids").alias("ids_crc32"))
 
 
+def op11_importance_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return importance.resampled(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark"))
+
+
+def op12_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return line_dedup.digest(line_dedup.deduplicated(read(spark, sf_dir, "documents")))
+
+
+def op13_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return filter_audit.audit(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_packing": op1_packing,
     "op2_fingerprints": op2_fingerprints,
@@ -72,6 +85,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_ngram_join": op8_ngram_join,
     "op9_quality_rules": op9_quality_rules,
     "op10_binary_output": op10_binary_output,
+    "op11_importance_resampling": op11_importance_resampling,
+    "op12_line_dedup": op12_line_dedup,
+    "op13_filter_audit": op13_filter_audit,
 }
-
-ORACLE_SQL: dict[str, str] = {}
