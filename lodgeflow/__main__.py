@@ -1,6 +1,6 @@
 """Command line: the run order and the stand-alone reports.
 
-    python -m lodgeflow run --csv PATH [--weather PATH] [--currency PATH] [--events PATH] --root PATH
+    python -m lodgeflow run --csv PATH [--weather PATH] [--currency PATH] [--events PATH] --root PATH [--database NAME]
     python -m lodgeflow profile --table PATH_OR_NAME
     python -m lodgeflow quality --table PATH_OR_NAME [--extended]
     python -m lodgeflow gold --table PATH_OR_NAME
@@ -34,6 +34,7 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> in
     r.add_argument("--currency")
     r.add_argument("--events")
     r.add_argument("--root", required=True)
+    r.add_argument("--database", help="keep tables and gold views in this database of the catalog")
     for name in ("profile", "quality", "gold"):
         c = sub.add_parser(name)
         c.add_argument("--table", required=True)
@@ -48,7 +49,8 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> in
 
     if args.cmd == "run":
         from lodgeflow.plans.run_order import run_all_stages
-        _print_rows(run_all_stages(spark, args.csv, args.weather, args.currency, args.events, args.root))
+        _print_rows(run_all_stages(spark, args.csv, args.weather, args.currency, args.events, args.root,
+                                   args.database))
     elif args.cmd == "profile":
         from lodgeflow.operators.profile import null_profile
         _print_rows(null_profile(read_table(spark, args.table)))
@@ -59,7 +61,7 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> in
         _print_rows(quality.quality_report(df, suite))
     elif args.cmd == "gold":
         from lodgeflow.plans.gold import refresh_gold
-        _print_rows(refresh_gold(spark, read_table(spark, args.table)))
+        _print_rows(refresh_gold(spark, args.table))
     return 0
 
 

@@ -24,7 +24,6 @@ RAW_BOOKING_COLUMNS = [
 
 # --- FIXED VALUES: cleaning ---
 SPECIAL_CHARS_PATTERN = r"[!@#$%^&*().,]"
-SPECIAL_CHARS = "!@#$%^&*().,"  # the same set, for character translation
 NON_DIGIT_PATTERN = r"[^0-9]"
 DIGITS_ONLY_PATTERN = r"^\d+$"
 TEXT_CLEAN_COLUMNS = ["hotel_id", "country_customer", "country", "city", "full_name", "hotel_name",

@@ -14,14 +14,28 @@ def _c(col: str | Column) -> Column:
     return F.col(col) if isinstance(col, str) else col
 
 
-def as_number(col: str | Column, truncate: bool = False) -> Column:
-    """Text -> double; null for anything that is not a number.
+def as_number(col: str | Column) -> Column:
+    """Text -> double; null for anything that is not a number."""
+    return _c(col).try_cast("double")
 
-    ``truncate=True`` reproduces the legacy (non-ANSI) string-to-int comparison,
-    where ``'4.5' > 0`` compared 4 with 0: the value is truncated toward zero.
-    """
-    d = _c(col).try_cast("double")
-    return d.try_cast("int") if truncate else d
+
+#: Text that a comparison with a whole number reads: a sign, digits, and a
+#: fraction that is cut off; no exponent.
+_WHOLE = r"^[\x00-\x20\x7F]*([+-]?[0-9]*)(\.[0-9]*)?[\x00-\x20\x7F]*$"
+_SOME = r"[0-9.]"
+
+
+def as_compared(col: str | Column) -> Column:
+    """What is compared where text meets a whole number: the text as an int,
+    its fraction cut off ('5.9' is 5, '0.9' and '.5' are 0); null for anything
+    else ('1e1', 'x', '', out of range).  Columns that are no text are compared
+    as they are."""
+    c = _c(col)
+    text = c.cast("string")
+    whole = F.regexp_extract(text, _WHOLE, 1)
+    number = F.when(whole.rlike("[0-9]"), whole.try_cast("int")).otherwise(F.lit(0))
+    read = F.when(text.rlike(_WHOLE) & text.rlike(_SOME), number)
+    return F.when(F.typeof(c) == "string", read.cast("double")).otherwise(c.try_cast("double"))
 
 
 def as_decimal(col: str | Column, precision: int = 18, scale: int = 2) -> Column:
@@ -51,3 +65,13 @@ def percent(part: str | Column, total: str | Column, places: int = 2,
     value = scaled.cast("double") / F.lit(float(scale))
     fallback = F.lit(None).cast("double") if zero_total is None else F.lit(float(zero_total))
     return F.when(t == 0, fallback).otherwise(value)
+
+
+def percent_of(part: int, total: int, places: int = 2) -> float | None:
+    """``percent`` of two counts that are already on the driver."""
+    if not total:
+        return None
+    scale = 10 ** places
+    scaled, rest = divmod(100 * scale * part, total)
+    up = 2 * rest > total or (2 * rest == total and scaled % 2 == 1)
+    return (scaled + up) / scale

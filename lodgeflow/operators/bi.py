@@ -7,13 +7,11 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lodgeflow.operators.joins import DEFAULT_BROADCAST_ROWS, maybe_broadcast
 
 
 def count_by_dimension(fact: DataFrame, dim: DataFrame, key: str = "city",
                        measure: str = "booking_id", out: str = "booking_count",
-                       keep_empty: bool = False,
-                       max_broadcast_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
+                       keep_empty: bool = False, unknown: bool = False) -> DataFrame:
     """Non-null ``measure`` count per dimension value, as a map visual asks.
 
     The fact is aggregated by the key first (map-side combine), so the join
@@ -21,13 +19,19 @@ def count_by_dimension(fact: DataFrame, dim: DataFrame, key: str = "city",
     non-unique dimension key cannot multiply the counts.  Only keys present in
     the dimension are reported, and (like a visual, where a count over no
     values is blank) keys with a zero count are left out unless
-    ``keep_empty``.
+    ``keep_empty``.  ``unknown`` adds the row that a report shows without a
+    name: everything whose key is null or not in the dimension.  The join's
+    strategy is left to the measured sizes of both sides.
     """
     per_key = fact.groupBy(key).agg(F.count(F.col(measure)).alias(out))
     if not keep_empty:
         per_key = per_key.where(F.col(out) > 0)
     keys = dim.select(key).where(F.col(key).isNotNull()).distinct()
-    return per_key.join(maybe_broadcast(keys, max_broadcast_rows), key, "left_semi")
+    if not unknown:
+        return per_key.join(keys, key, "left_semi")
+    known = per_key.join(keys.withColumn("__known", F.lit(True)), key, "left")
+    return (known.groupBy(F.when(F.col("__known"), F.col(key)).alias(key))
+            .agg(F.sum(out).alias(out)))
 
 
 _AGGS = {"sum": F.sum, "min": F.min, "max": F.max, "count": F.count, "avg": F.avg}

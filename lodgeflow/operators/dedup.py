@@ -19,10 +19,14 @@ _RN = "__lodgeflow_rn"
 
 
 def default_order(df: DataFrame, keys: Sequence[str]) -> list[Column]:
-    """Every non-key column ascending, nulls first: a total order on rows."""
+    """Every non-key column ascending, nulls first: a total order on rows.  A
+    map, which has no order, counts as its entries sorted by key."""
+    def ordered(f) -> Column:
+        c = F.col(f"`{f.name}`")
+        return F.array_sort(F.map_entries(c)) if isinstance(f.dataType, MapType) else c
+
     ks = set(keys)
-    return [F.col(f"`{f.name}`").asc_nulls_first() for f in df.schema.fields
-            if f.name not in ks and not isinstance(f.dataType, MapType)]
+    return [ordered(f).asc_nulls_first() for f in df.schema.fields if f.name not in ks]
 
 
 def dedup_by_key(df: DataFrame, keys: str | Sequence[str],

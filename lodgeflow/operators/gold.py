@@ -41,9 +41,36 @@ def kpi_revenue(fact: DataFrame, by: str = "hotel_name", amount: str = "total_pr
         F.count(F.col(key)).alias("total_bookings"))
 
 
+def gold_view_sql(validated: str, database: str, price_col: str = "total_price") -> dict[str, str]:
+    """The three gold views over the table ``validated`` as statements, in the
+    order in which they build on each other (the revenue reads the fact)."""
+    price = "total_price_eur"
+    name = {v: f"{database}.{v}" for v in (K.GOLD_FACT_VIEW, K.GOLD_DIM_VIEW, K.GOLD_KPI_VIEW)}
+    bodies = {
+        K.GOLD_FACT_VIEW: f"SELECT {', '.join(K.FACT_COLUMNS)}, "
+                          f"TRY_CAST({price_col} AS DECIMAL(18, 2)) AS {price} FROM {validated}",
+        K.GOLD_DIM_VIEW: f"SELECT DISTINCT {', '.join(K.DIM_CITY_COLUMNS)} FROM {validated}",
+        K.GOLD_KPI_VIEW: f"SELECT hotel_name, CAST(SUM({price}) AS DECIMAL(38, 2)) AS total_revenue, "
+                         f"COUNT(booking_id) AS total_bookings FROM {name[K.GOLD_FACT_VIEW]} GROUP BY hotel_name",
+    }
+    return {name[v]: f"CREATE OR REPLACE VIEW {name[v]} AS {body}" for v, body in bodies.items()}
+
+
+def create_gold_views(spark: SparkSession, validated: str, database: str,
+                      price_col: str = "total_price") -> list[str]:
+    """Define the gold views in the catalog (SNK-8), so that they are there for
+    every other session as well; ``validated`` is a table of the catalog.
+    Returns the views' names."""
+    statements = gold_view_sql(validated, database, price_col)
+    for statement in statements.values():
+        spark.sql(statement)
+    return list(statements)
+
+
 def register_gold_views(spark: SparkSession, validated: DataFrame,
                         price_col: str = "total_price") -> dict[str, DataFrame]:
-    """Define the three gold views as temporary views (SNK-8)."""
+    """The same three as temporary views of this session, over a DataFrame
+    (a folder, say, which the catalog doesn't know)."""
     fact = fact_booking(validated, price_col)
     views = {K.GOLD_FACT_VIEW: fact, K.GOLD_DIM_VIEW: dim_city(validated),
              K.GOLD_KPI_VIEW: kpi_revenue(fact)}

@@ -8,7 +8,6 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from lodgeflow.constants import LANGUAGE_BY_COUNTRY
-from lodgeflow.operators.joins import DEFAULT_BROADCAST_ROWS, maybe_broadcast
 
 
 def lookup_constant(df: DataFrame, key_col: str, out_col: str,
@@ -28,16 +27,14 @@ def lookup_constant(df: DataFrame, key_col: str, out_col: str,
 
 
 def lookup_table(df: DataFrame, key_col: str, dictionary: DataFrame, dict_key: str,
-                 dict_value: str, out_col: str,
-                 max_broadcast_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
+                 dict_value: str, out_col: str) -> DataFrame:
     """Left look-up against a dictionary held as a table.
 
     Repeated dictionary keys are reduced to one (the smallest value) so the
-    join never multiplies rows; the dictionary is broadcast only when its size
-    is proven small, otherwise both sides shuffle on the key.
+    join never multiplies rows; whether it is broadcast is left to its measured
+    size (adaptive execution), so no job runs while the query is built.
     """
     d = (dictionary.groupBy(F.col(dict_key).alias("__k"))
          .agg(F.min(dict_value).alias(out_col)))
-    d = maybe_broadcast(d, max_broadcast_rows)
     out = df.join(d, F.col(key_col) == F.col("__k"), "left").drop("__k")
     return out

@@ -39,8 +39,3 @@ def null_profile(df: DataFrame, columns: list[str] | None = None) -> DataFrame:
                 F.col("Null_Count").cast("long").alias("Null_Count"),
                 percent("Null_Count", _TOTAL, 2, zero_total=0.0).alias("Missing_Percentage"))
             .orderBy(F.col("Missing_Percentage").desc(), F.col("Column_Name")))
-
-
-def schema_summary(df: DataFrame) -> dict:
-    """Column names, types and count (plan-time, no job)."""
-    return {"columns": df.columns, "dtypes": dict(df.dtypes), "column_count": len(df.columns)}

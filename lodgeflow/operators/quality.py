@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StringType
 
 from lodgeflow import constants as K
-from lodgeflow.functions import as_number, parse_date, percent
+from lodgeflow.functions import as_compared, as_number, parse_date, percent
 from lodgeflow.operators.metrics import distinct_keys
 
 _TOTAL = "total_records"
@@ -65,11 +65,12 @@ def matches(df: DataFrame, col: str, pattern: str = K.DIGITS_ONLY_PATTERN,
     return Check(name, F.count_if(~F.col(col).rlike(pattern)))
 
 
-def numeric(df: DataFrame, col: str, truncate_numeric: bool = False) -> Column:
-    """A text column as a number (``try_cast``; bad text is null, never an
-    error under ANSI), any other column as is."""
+def numeric(df: DataFrame, col: str, truncate_numeric: bool = True) -> Column:
+    """A text column as the number that a range with whole bounds compares
+    (``as_compared``; ``truncate_numeric=False``: as a double); bad text is
+    null, never an error under ANSI.  Any other column as is."""
     if isinstance(df.schema[col].dataType, StringType):
-        return as_number(col, truncate_numeric)
+        return as_compared(col) if truncate_numeric else as_number(col)
     return F.col(col)
 
 
@@ -80,20 +81,22 @@ def as_date(df: DataFrame, col: str) -> Column:
     return F.col(col)
 
 
-def blocking_suite(df: DataFrame, truncate_numeric: bool = False) -> list[Check]:
+def blocking_suite(df: DataFrame, truncate_numeric: bool = True) -> list[Check]:
     """The four blocking checks of the publish gate."""
     return [unique("booking_id"), not_null("hotel_id"),
             in_range(numeric(df, "star_rating", truncate_numeric), 1, 5),
-            coordinates_in_range(numeric(df, "latitude"), numeric(df, "longitude"))]
+            coordinates_in_range(numeric(df, "latitude", truncate_numeric),
+                                 numeric(df, "longitude", truncate_numeric))]
 
 
-def extended_suite(df: DataFrame, truncate_numeric: bool = False) -> list[Check]:
+def extended_suite(df: DataFrame, truncate_numeric: bool = True) -> list[Check]:
     """The six-check variant (adds date order and phone format)."""
     return [unique("booking_id"), not_null("hotel_id"),
             in_range(numeric(df, "star_rating", truncate_numeric), 1, 5),
             not_before(as_date(df, "checkout_date"), as_date(df, "checkin_date")),
             matches(df, "phone"),
-            coordinates_in_range(numeric(df, "latitude"), numeric(df, "longitude"))]
+            coordinates_in_range(numeric(df, "latitude", truncate_numeric),
+                                 numeric(df, "longitude", truncate_numeric))]
 
 
 def check_counts(df: DataFrame, checks: Sequence[Check]) -> DataFrame:

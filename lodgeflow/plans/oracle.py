@@ -73,8 +73,21 @@ kpi AS (
   FROM fact GROUP BY hotel_name)"""
 
 
-_LI_RULE = ("l_orderkey % 17 <> 0 AND l_extendedprice > 0 AND l_quantity - 5 > 0 "
-            "AND l_linenumber BETWEEN 1 AND 5 AND l_discount > 0")
+def whole(x: str) -> str:
+    """Text as a comparison with a whole number reads it: cut off at the point,
+    null where it has an exponent or is no number."""
+    return (f"CASE WHEN regexp_matches({x}, '^\\s*[+-]?([0-9]+([.][0-9]*)?|[.][0-9]+)\\s*$') "
+            f"THEN trunc(TRY_CAST({x} AS DOUBLE)) END")
+
+
+def text_star(key: str, plain: str) -> str:
+    return (f"CASE {key} % 19 WHEN 0 THEN 'x' WHEN 1 THEN '0.9' WHEN 2 THEN '5.9' WHEN 3 THEN '4.5' WHEN 4 THEN '1e1' "
+            f"WHEN 5 THEN ' 3 ' WHEN 6 THEN '' WHEN 7 THEN '6.0' ELSE {plain} END")
+
+
+_LI_STAR = text_star("l_orderkey", "CAST(l_linenumber AS VARCHAR)")
+_LI_RULE = (f"l_orderkey % 17 <> 0 AND trunc(l_extendedprice) > 0 AND trunc(l_quantity - 5) > 0 "
+            f"AND coalesce(({whole(_LI_STAR)}) BETWEEN 1 AND 5, false) AND trunc(round(l_discount * 100) / 4) > 0")
 
 ORACLE_SQL: dict[str, str] = {}
 
@@ -86,12 +99,9 @@ SELECT CAST(p_partkey AS VARCHAR) AS p_partkey, p_name, p_brand, p_type,
        '{K.BATCH_SOURCE_NAME}' AS source_bron
 FROM part"""
 
-ORACLE_SQL["bronze_json_payload"] = """
-SELECT 'EUR' AS base_currency, CAST(json_extract_string(props, '$.k') AS DOUBLE) AS k_rate,
-       CAST(json_extract_string(props, '$.TRY') AS DOUBLE) AS try_rate,
-       CAST(json_extract_string(props, '$.USD') AS DOUBLE) AS usd_rate,
-       CAST(CAST(ts AS DATE) AS VARCHAR) AS update_date
-FROM events"""
+ORACLE_SQL["bronze_json_payload"] = "SELECT 'EUR' AS base_currency, " + ", ".join(
+    f"CASE WHEN event_id % {i + 2} <> 0 THEN value * {i + 1} END AS {c.lower()}_rate"
+    for i, c in enumerate(K.CURRENCY_CODES)) + ", CAST(CAST(ts AS DATE) AS VARCHAR) AS update_date FROM events"
 
 ORACLE_SQL["bronze_json_weather"] = """
 SELECT strftime(ts, '%Y-%m-%dT%H:%M') AS "time", CAST(NULL AS BIGINT) AS "interval",
@@ -140,7 +150,7 @@ FROM a"""
 ORACLE_SQL["filter_report"] = f"""
 WITH a AS (
   SELECT count(*) AS rows_before, count(*) FILTER (WHERE l_orderkey % 17 = 0) AS null_key_rows,
-         count(*) FILTER (WHERE {_LI_RULE} AND l_orderkey % 19 <> 0) AS rows_after
+         count(*) FILTER (WHERE {_LI_RULE}) AS rows_after
   FROM lineitem)
 SELECT rows_before, null_key_rows, rows_before - rows_after - null_key_rows AS rule_failures, rows_after,
        {pct('rows_before - rows_after', 'rows_before')} AS loss_pct
@@ -203,9 +213,9 @@ FROM orders"""
 ORACLE_SQL["logical_filter"] = f"""
 SELECT l_orderkey, l_linenumber, l_quantity, l_extendedprice, l_discount,
        CAST(l_orderkey AS VARCHAR) AS booking_id, CAST(l_partkey AS VARCHAR) AS hotel_id,
-       CAST(l_linenumber AS VARCHAR) AS star_rating
+       {_LI_STAR} AS star_rating
 FROM lineitem
-WHERE {_LI_RULE} AND l_orderkey % 19 <> 0"""
+WHERE {_LI_RULE}"""
 
 ORACLE_SQL["enrich_constants"] = """
 SELECT o_orderkey, round(o_totalprice * CAST(1.08 AS DOUBLE), 2) AS total_price_eur,
@@ -226,8 +236,15 @@ SELECT rows_before, rows_before - rows_after_dedup AS duplicates_removed, rows_a
        {pct('rows_after_dedup - rows_after_filter', 'rows_after_dedup')} AS filter_loss_pct
 FROM a"""
 
-ORACLE_SQL["silver_batch"] = f"""
-WITH raw AS (
+_STAR, _PRICE = "CAST(n_nationkey % 7 AS VARCHAR)", "CAST(o_totalprice AS VARCHAR)"
+_DIRTY_STAR = text_star("o_orderkey", _STAR)
+_DIRTY_PRICE = f"CASE WHEN o_orderkey % 31 = 0 THEN '0.99' ELSE {_PRICE} END"
+
+
+def order_ctes(star: str = _STAR, price: str = _PRICE) -> str:
+    """raw: order bookings as text; s: after the clean-up, with the language
+    and whether the row keeps its ids (has_ids) and holds the rules (valid)."""
+    return f"""raw AS (
   SELECT CAST(o_orderkey AS VARCHAR) AS booking_id,
          CASE WHEN o_orderkey % 19 = 0 THEN NULL ELSE ' h-' || CAST(o_custkey % 100 AS VARCHAR) || '!' END AS hotel_id,
          c_mktsegment || '.' AS hotel_name, n_name AS country, lower(n_name) || ', ' || c_mktsegment AS city,
@@ -237,10 +254,8 @@ WITH raw AS (
          c_acctbal AS lat_n, o_totalprice / 1000 AS lon_n,
          ' ' || c_name || '@Mail.COM ' AS email, ' ' || o_orderpriority AS trip_type,
          CASE WHEN o_orderkey % 23 = 0 THEN '31/12/2024' ELSE CAST(CAST(o_orderdate AS DATE) AS VARCHAR) END AS booking_date,
-         CAST(o_totalprice AS VARCHAR) AS total_price, CAST(o_custkey % 4 AS VARCHAR) AS adults,
-         CAST(n_nationkey % 7 AS VARCHAR) AS star_rating, CAST(length(o_orderpriority) - 5 AS VARCHAR) AS nights,
-         o_totalprice AS price_n, o_custkey % 4 AS adults_n, n_nationkey % 7 AS star_n,
-         length(o_orderpriority) - 5 AS nights_n
+         {price} AS total_price, CAST(o_custkey % 4 AS VARCHAR) AS adults,
+         {star} AS star_rating, CAST(length(o_orderpriority) - 5 AS VARCHAR) AS nights
   FROM orders JOIN customer ON o_custkey = c_custkey JOIN nation ON c_nationkey = n_nationkey),
 s AS (
   SELECT booking_id, upper({strip('hotel_id')}) AS hotel_id, {initcap(strip('hotel_name'))} AS hotel_name,
@@ -252,16 +267,73 @@ s AS (
          CASE WHEN lat_n BETWEEN -90 AND 90 AND lat_n <> 0 THEN round(lat_n, 6) END AS latitude,
          CASE WHEN lon_n BETWEEN -180 AND 180 AND lon_n <> 0 THEN round(lon_n, 6) END AS longitude,
          lower(trim(email)) AS email, {initcap('trim(trip_type)')} AS trip_type,
-         TRY_CAST(booking_date AS DATE) AS booking_date,
-         total_price, adults, star_rating, nights, price_n, adults_n, star_n, nights_n
-  FROM raw)
-SELECT booking_id, hotel_id, hotel_name, country, city, full_name, city_customer, country_customer,
+         TRY_CAST(booking_date AS DATE) AS booking_date, booking_date AS booking_text,
+         total_price, adults, star_rating, nights, lang.v AS language_preference,
+         hotel_id IS NOT NULL AND booking_id IS NOT NULL AS has_ids,
+         coalesce(({whole('total_price')}) > 0 AND ({whole('adults')}) > 0 AND ({whole('star_rating')}) BETWEEN 1 AND 5
+                  AND ({whole('nights')}) > 0, false) AS valid
+  FROM raw LEFT JOIN {LANG_VALUES} ON upper({strip('country_customer')}) = lang.k)"""
+
+
+_SILVER_COLUMNS = """booking_id, hotel_id, hotel_name, country, city, full_name, city_customer, country_customer,
        address, room_type, phone, latitude, longitude, email, trip_type, booking_date,
-       total_price, adults, star_rating, nights, lang.v AS language_preference,
-       round(price_n * CAST(1.08 AS DOUBLE), 2) AS total_price_eur, CAST(20.0 AS DOUBLE) AS ingested_temp
-FROM s LEFT JOIN {LANG_VALUES} ON s.country_customer = lang.k
-WHERE hotel_id IS NOT NULL AND booking_id IS NOT NULL
-  AND price_n > 0 AND adults_n > 0 AND star_n BETWEEN 1 AND 5 AND nights_n > 0"""
+       total_price, adults, star_rating, nights, language_preference"""
+_LIVE_RATE = "(SELECT arg_max(value, ts) / 100 FROM events)"
+_LIVE_TEMP = "(SELECT arg_max(value, ts) - 5 FROM events)"
+
+ORACLE_SQL["silver_batch"] = f"""
+WITH {order_ctes()}
+SELECT {_SILVER_COLUMNS}, round(CAST(total_price AS DOUBLE) * CAST(1.08 AS DOUBLE), 2) AS total_price_eur,
+       CAST(20.0 AS DOUBLE) AS ingested_temp
+FROM s WHERE has_ids AND valid"""
+
+ORACLE_SQL["stream_job"] = f"""
+WITH {order_ctes(_DIRTY_STAR, _DIRTY_PRICE)}
+SELECT {_SILVER_COLUMNS},
+       round(CAST(total_price AS DOUBLE) * CASE WHEN room_type = 'F' THEN CAST(1.08 AS DOUBLE) ELSE {_LIVE_RATE} END, 2)
+         AS total_price_eur,
+       CASE WHEN room_type = 'F' THEN CAST(20.0 AS DOUBLE) ELSE {_LIVE_TEMP} END AS ingested_temp
+FROM s WHERE has_ids AND valid"""
+
+ORACLE_SQL["run_order_twice"] = f"""
+WITH {order_ctes(_DIRTY_STAR, _DIRTY_PRICE)}
+SELECT hotel_name, CAST(SUM(CAST(total_price AS DECIMAL(18,2))) AS DECIMAL(38,2)) AS total_revenue,
+       count(booking_id) AS total_bookings
+FROM s WHERE has_ids AND valid GROUP BY hotel_name"""
+
+ORACLE_SQL["silver_batch_metrics"] = f"""
+WITH {order_ctes(_DIRTY_STAR, _DIRTY_PRICE)},
+c AS (
+  SELECT count(*) AS n, count(language_preference) AS filled, count(*) FILTER (WHERE NOT has_ids) AS no_ids,
+         count(*) FILTER (WHERE has_ids AND valid) AS kept
+  FROM s)
+SELECT unnest([
+  {{'metric': 'dedup.rows_before', 'value': CAST(2 * n AS DOUBLE)}},
+  {{'metric': 'dedup.rows_removed', 'value': CAST(n AS DOUBLE)}},
+  {{'metric': 'dedup.rows_after', 'value': CAST(n AS DOUBLE)}},
+  {{'metric': 'dedup.removed_pct', 'value': 50.0::DOUBLE}},
+  {{'metric': 'lookup.total', 'value': CAST(n AS DOUBLE)}},
+  {{'metric': 'lookup.filled', 'value': CAST(filled AS DOUBLE)}},
+  {{'metric': 'lookup.missing', 'value': CAST(n - filled AS DOUBLE)}},
+  {{'metric': 'lookup.filled_pct', 'value': {pct('filled', 'n')}}},
+  {{'metric': 'lookup.missing_pct', 'value': {pct('n - filled', 'n')}}},
+  {{'metric': 'filter.rows_before', 'value': CAST(n AS DOUBLE)}},
+  {{'metric': 'filter.null_key_rows', 'value': CAST(no_ids AS DOUBLE)}},
+  {{'metric': 'filter.rule_failures', 'value': CAST(n - kept - no_ids AS DOUBLE)}},
+  {{'metric': 'filter.rows_after', 'value': CAST(kept AS DOUBLE)}},
+  {{'metric': 'filter.loss_pct', 'value': {pct('n - kept', 'n')}}},
+  {{'metric': 'enrichment.eur_rate', 'value': {_LIVE_RATE}}},
+  {{'metric': 'enrichment.rate_is_fallback', 'value': 0.0::DOUBLE}},
+  {{'metric': 'enrichment.temperature', 'value': {_LIVE_TEMP}}},
+  {{'metric': 'enrichment.temperature_is_fallback', 'value': 0.0::DOUBLE}},
+  {{'metric': 'written.rows', 'value': CAST(kept AS DOUBLE)}}], recursive := true)
+FROM c"""
+
+ORACLE_SQL["percent_ties"] = f"""
+WITH p AS (
+  SELECT c_custkey // 32 AS block, c_mktsegment, count(*) AS part FROM customer GROUP BY ALL),
+t AS (SELECT *, CAST(sum(part) OVER (PARTITION BY block) AS BIGINT) AS total FROM p)
+SELECT block, c_mktsegment, part, total, {pct('part', 'total')} AS share_pct FROM t"""
 
 ORACLE_SQL["silver_stream_upsert"] = """
 SELECT event_id, ts, user_id, event_type, CASE WHEN ts < TIMESTAMP '2024-01-16' THEN value + 1000 ELSE value END AS value,
@@ -311,6 +383,41 @@ s AS (SELECT *, (c0 = 0 AND c1 = 0 AND c2 = 0 AND c3 = 0) AS suite_success FROM
     f"{pct(f'total_records - c{i}', 'total_records')} AS success_pct, c{i} = 0 AS passed, suite_success FROM s"
     for i, n in enumerate(_BLOCKING))
 
+
+def blocking_sql(fields: str, extra: str = "") -> str:
+    """CTEs f (fields), c (total_records and the failures of the blocking
+    checks as c0 to c3) and s (with the suite's outcome)."""
+    return f"""WITH {extra}f AS ({fields}),
+c AS (
+  SELECT count(*) AS total_records,
+         count(*) - (count(DISTINCT booking_id) + coalesce(max(CASE WHEN booking_id IS NULL THEN 1 ELSE 0 END), 0)) AS c0,
+         count(*) FILTER (WHERE hotel_id IS NULL) AS c1,
+         count(*) FILTER (WHERE NOT (star_rating BETWEEN 1 AND 5)) AS c2,
+         count(*) FILTER (WHERE NOT (latitude BETWEEN -90 AND 90) OR NOT (longitude BETWEEN -180 AND 180)) AS c3
+  FROM f),
+s AS (SELECT *, (c0 = 0 AND c1 = 0 AND c2 = 0 AND c3 = 0) AS suite_success FROM c)
+"""
+
+
+ORACLE_SQL["quality_text_stars"] = blocking_sql(f"""
+  SELECT l_orderkey AS booking_id, CASE WHEN l_orderkey % 17 <> 0 THEN l_partkey END AS hotel_id,
+         {whole(_LI_STAR)} AS star_rating, trunc(l_quantity * 1.85::DOUBLE) AS latitude,
+         trunc(l_extendedprice / 250) AS longitude
+  FROM lineitem""") + "\nUNION ALL\n".join(
+    f"SELECT {_q(n)} AS check_name, c{i} AS fail_count, total_records, "
+    f"{pct(f'total_records - c{i}', 'total_records')} AS success_pct, c{i} = 0 AS passed, suite_success FROM s"
+    for i, n in enumerate(_BLOCKING))
+
+ORACLE_SQL["quality_gate_outcomes"] = blocking_sql("""
+  SELECT c_custkey % 1000 AS booking_id, CASE WHEN c_mktsegment <> 'BUILDING' THEN c_nationkey END AS hotel_id,
+         c_nationkey % 7 AS star_rating, c_acctbal / 100 AS latitude, c_acctbal / 50 AS longitude
+  FROM customer""") + "\nUNION ALL\n".join(
+    f"SELECT {_q(run)} AS run, {_q(n)} AS check_name, c{i} AS fail_count, total_records, suite_success AS success, "
+    f"{raised} AS raised, {warned} AS warned, CAST(0 AS BIGINT) AS published_rows FROM s"
+    for run, raised, warned in (("raise", "true", "false"), ("warn", "false", "true"))
+    for i, n in enumerate(_BLOCKING)) + "\nUNION ALL\n" + "\nUNION ALL\n".join(
+    f"SELECT 'pass', {_q(n)}, CAST(0 AS BIGINT), count(*), true, false, false, count(*) FROM orders" for n in _BLOCKING)
+
 ORACLE_SQL["quality_gate"] = """
 SELECT *, o_orderkey AS booking_id, o_custkey AS hotel_id, CAST(length(o_orderstatus) AS INTEGER) AS star_rating,
        o_totalprice / 10000 AS latitude, o_totalprice / 10000 AS longitude
@@ -343,10 +450,25 @@ FROM f WHERE city IN (SELECT city FROM d WHERE city IS NOT NULL)
 GROUP BY city
 HAVING count(booking_id) > 0"""
 
+ORACLE_SQL["gold_views"] = f"""WITH {LINEITEM_FACT_CTES},
+dim AS (SELECT DISTINCT city, country, latitude, longitude FROM silver),
+cities AS (SELECT city, count(*) AS city_rows FROM dim GROUP BY city)
+SELECT * FROM fact JOIN cities USING (city) JOIN kpi USING (hotel_name)"""
+
+ORACLE_SQL["bi_count_unknown"] = """
+WITH f AS (
+  SELECT CASE WHEN o_orderstatus <> 'P' THEN o_orderkey END AS booking_id, n_name,
+         CASE WHEN n_regionkey < 3 THEN n_name END AS city
+  FROM orders JOIN customer ON o_custkey = c_custkey JOIN nation ON c_nationkey = n_nationkey)
+SELECT city, count(booking_id) AS booking_count
+FROM f GROUP BY city
+HAVING count(booking_id) > 0"""
+
 ORACLE_SQL["bi_implicit_totals"] = f"""WITH {LINEITEM_FACT_CTES}
 SELECT CAST(SUM(total_revenue) AS DECIMAL(38,2)) AS total_revenue, CAST(SUM(total_bookings) AS BIGINT) AS total_bookings
 FROM kpi"""
 
 ORACLE_SQL["latest_n"] = "SELECT * FROM events ORDER BY ts DESC NULLS LAST, event_id LIMIT 15"
 
-ORACLE_SQL["sample_preview"] = "SELECT count(*) AS preview_rows FROM (SELECT 1 FROM events LIMIT 10)"
+ORACLE_SQL["sample_preview"] = """
+SELECT count(*) AS preview_rows, count(*) AS different_rows, count(*) AS found_rows FROM (SELECT 1 FROM events LIMIT 10)"""

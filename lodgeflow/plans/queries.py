@@ -11,6 +11,7 @@ Every callable takes ``(spark, sf_dir)`` and returns a DataFrame.
 from __future__ import annotations
 
 import os
+import warnings
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -21,22 +22,24 @@ from lodgeflow.operators.cleaning import (clean_coordinates, format_text, keep_d
                                           strip_special_chars)
 from lodgeflow.operators.dedup import dedup_any, dedup_by_key
 from lodgeflow.operators.enrich import enrich
-from lodgeflow.operators.joins import maybe_broadcast
 from lodgeflow.operators.lookup import lookup_constant, lookup_table
 from lodgeflow.operators.metrics import dedup_report, filter_report, ingest_summary, lookup_coverage
 from lodgeflow.operators.profile import null_profile
 from lodgeflow.operators.rules import apply_business_rules, business_rule, drop_null_keys
 from lodgeflow.operators.topk import latest, sample_rows
-from lodgeflow.plans.quality import validate_and_publish
-from lodgeflow.plans.silver import (bronze_to_silver, filter_valid, silver_metrics, standardize,
-                                    write_silver)
-from lodgeflow.session import shared_dir
+from lodgeflow.operators.quality import QualityGateError
+from lodgeflow.plans.quality import read_report, validate_and_publish
+from lodgeflow.plans.run_order import run_all_stages
+from lodgeflow.plans.silver import (bronze_to_silver, filter_valid, run_bronze_to_silver, silver_metrics, standardize,
+                                    stream_to_silver, write_silver)
+from lodgeflow.session import shared_database, shared_dir
 from lodgeflow.sinks.tables import overwrite
 from lodgeflow.sources.api import (CURRENCY_SCHEMA, WEATHER_SCHEMA, currency_rows, read_payloads,
                                    weather_rows)
-from lodgeflow.sources.files import add_load_metadata, read_csv
-from lodgeflow.streaming.ingest import JSON_TIMESTAMP_OPTIONS, ingest_events, read_event_stream
-from lodgeflow.streaming.upsert import LOAD_COL, run_upsert
+from lodgeflow.functions import percent
+from lodgeflow.sources.files import add_load_metadata, read_csv, read_path_if_exists, read_table
+from lodgeflow.streaming.ingest import JSON_TIMESTAMP_OPTIONS, ingest_events, read_event_stream, read_table_stream
+from lodgeflow.streaming.upsert import LOAD_COL, run_upsert, unmatched_sql
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -54,7 +57,7 @@ def lineitem_bookings(spark: SparkSession, sf_dir: str) -> DataFrame:
     """
     li = dedup_by_key(table(spark, sf_dir, "lineitem"), "l_orderkey")
     part = table(spark, sf_dir, "part").select("p_partkey", "p_name", "p_brand")
-    j = li.join(maybe_broadcast(part), F.col("l_partkey") == F.col("p_partkey"), "inner")
+    j = li.join(part, F.col("l_partkey") == F.col("p_partkey"), "inner")
     ship = F.col("l_shipdate").cast("date")
     return j.select(
         F.col("l_orderkey").cast("string").alias("booking_id"),
@@ -81,8 +84,8 @@ def order_bookings(spark: SparkSession, sf_dir: str) -> DataFrame:
     orders = table(spark, sf_dir, "orders")
     cust = table(spark, sf_dir, "customer")
     nation = table(spark, sf_dir, "nation")
-    cn = cust.join(maybe_broadcast(nation), F.col("c_nationkey") == F.col("n_nationkey"), "inner")
-    j = orders.join(maybe_broadcast(cn), F.col("o_custkey") == F.col("c_custkey"), "inner")
+    cn = cust.join(nation, F.col("c_nationkey") == F.col("n_nationkey"), "inner")
+    j = orders.join(cn, F.col("o_custkey") == F.col("c_custkey"), "inner")
     okey = F.col("o_orderkey")
     s = lambda c: F.col(c).cast("string")
     return j.select(
@@ -111,6 +114,32 @@ def order_bookings(spark: SparkSession, sf_dir: str) -> DataFrame:
         (F.length("o_orderpriority") - 5).cast("string").alias("nights"))
 
 
+#: Star ratings as text that a comparison with whole numbers reads in its own
+#: way, by the remainder of the key: cut off, with an exponent, padded, no number.
+TEXT_STARS = {0: "x", 1: "0.9", 2: "5.9", 3: "4.5", 4: "1e1", 5: " 3 ", 6: "", 7: "6.0"}
+
+
+def text_star(key, plain):
+    out = F
+    for k, v in TEXT_STARS.items():
+        out = out.when(key % 19 == k, F.lit(v))
+    return out.otherwise(plain)
+
+
+def dirty_bookings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``order_bookings`` with such star ratings, and prices below 1."""
+    raw, key = order_bookings(spark, sf_dir), F.col("booking_id").cast("long")
+    return raw.withColumns({"star_rating": text_star(key, F.col("star_rating")),
+                            "total_price": F.when(key % 31 == 0, F.lit("0.99")).otherwise(F.col("total_price"))})
+
+
+def live_values(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    """Rate and weather tables with a row per event; the newest row counts."""
+    e = _events(spark, sf_dir)
+    return (e.select((F.col("value") / 100).alias("eur_rate"), F.col("ts").alias("ingested_at")),
+            e.select((F.col("value") - 5).alias("temperature"), F.col("ts").alias("ingested_at")))
+
+
 def _events(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "events")
 
@@ -142,13 +171,18 @@ def _land_payloads(spark: SparkSession, sf_dir: str, name: str, body) -> str:
 
 
 def q_bronze_json_payload(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Currency-style payloads (``{"base","date","rates":{...}}``) built from
-    each event's ``props`` object; pick named rates, missing ones null."""
+    """Currency-style payloads (``{"base","date","rates":{...}}``) with the rates
+    of the six currencies, built from each event's value; each event lacks some
+    of them, which are null then, and has one that nobody asks for."""
+    key = F.col("event_id")
+    pair = lambda code, rate: F.struct(F.lit(code).alias("code"), rate.alias("rate"))
+    rates = [F.when(key % (i + 2) != 0, pair(code, F.col("value") * (i + 1)))
+             for i, code in enumerate(K.CURRENCY_CODES)]
+    rates = F.map_from_entries(F.array_compact(F.array(*rates, pair("ZZZ", F.col("value")))))
     body = F.struct(F.lit("EUR").alias("base"), F.col("ts").cast("date").cast("string").alias("date"),
-                    F.from_json("props", "map<string,double>").alias("rates"))
+                    rates.alias("rates"))
     path = _land_payloads(spark, sf_dir, "currency_payloads", body)
-    rows = currency_rows(read_payloads(spark, path, CURRENCY_SCHEMA), codes=["k", "TRY", "USD"])
-    return rows.drop("ingested_at")
+    return currency_rows(read_payloads(spark, path, CURRENCY_SCHEMA)).drop("ingested_at")
 
 
 def q_bronze_json_weather(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -194,8 +228,11 @@ def q_dedup_by_key(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def q_dedup_any_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Arbitrary survivor per key: the surviving rows differ run to run, the
-    keys and their count do not."""
-    return dedup_any(table(spark, sf_dir, "lineitem"), "l_orderkey").select("l_orderkey")
+    keys and their count do not.  Each survivor is looked up among the input's
+    rows by all its columns, so one put together from several rows is missed."""
+    li = table(spark, sf_dir, "lineitem")
+    kept = dedup_any(li, "l_orderkey")
+    return kept.join(li.distinct(), li.columns, "left_semi").select("l_orderkey")
 
 
 def q_dedup_report(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -207,17 +244,20 @@ _PASSTHROUGH = ["l_orderkey", "l_linenumber", "l_quantity", "l_extendedprice", "
 
 def _lineitem_rule_frame(spark: SparkSession, sf_dir: str, keep: list[str] | None = None) -> DataFrame:
     """Line items as text booking fields for the key and rule filters: every
-    17th order has no hotel id, every 19th a star rating that is not a number."""
+    17th order has no hotel id, star ratings are partly text that is compared in
+    its own way, nights are fractions."""
     li = table(spark, sf_dir, "lineitem")
     k = F.col("l_orderkey")
-    return li.select(
-        *(keep or []),
-        k.cast("string").alias("booking_id"),
-        F.when(k % 17 != 0, F.col("l_partkey").cast("string")).alias("hotel_id"),
-        F.col("l_extendedprice").cast("string").alias("total_price"),
-        (F.col("l_quantity") - 5).cast("string").alias("adults"),
-        F.when(k % 19 == 0, F.lit("x")).otherwise(F.col("l_linenumber").cast("string")).alias("star_rating"),
-        F.col("l_discount").cast("string").alias("nights"))
+    return li.select(*(keep or []), *_rule_fields(k))
+
+
+def _rule_fields(k) -> list:
+    return [k.cast("string").alias("booking_id"),
+            F.when(k % 17 != 0, F.col("l_partkey").cast("string")).alias("hotel_id"),
+            F.col("l_extendedprice").cast("string").alias("total_price"),
+            (F.col("l_quantity") - 5).cast("string").alias("adults"),
+            text_star(k, F.col("l_linenumber").cast("string")).alias("star_rating"),
+            (F.round(F.col("l_discount") * 100) / 4).cast("string").alias("nights")]
 
 
 def q_filter_report(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -317,14 +357,7 @@ def q_stage_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
     k = F.col("l_orderkey")
 
     def to_booking(s: DataFrame) -> DataFrame:
-        return s.select(
-            "__n",
-            k.cast("string").alias("booking_id"),
-            F.when(k % 17 != 0, F.col("l_partkey").cast("string")).alias("hotel_id"),
-            F.col("l_extendedprice").cast("string").alias("total_price"),
-            (F.col("l_quantity") - 5).cast("string").alias("adults"),
-            F.col("l_linenumber").cast("string").alias("star_rating"),
-            F.col("l_discount").cast("string").alias("nights"))
+        return s.select(*_rule_fields(k))
 
     return silver_metrics(li, key="l_orderkey", to_booking=to_booking)
 
@@ -361,6 +394,71 @@ def q_silver_stream_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(target).drop(LOAD_COL)
 
 
+def q_stream_job(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The stream job on tables of the catalog: JSON events (each twice, dirty
+    text) are appended to a raw table, streamed from it through the clean-up
+    chain and the rules, enriched with a live rate and temperature, and inserted
+    from the micro-batch's view by SQL where their key is new.  Silver already
+    holds the batch job's rows of one order status, with the fallback values."""
+    db, base = shared_database(spark, "stream_job"), shared_dir(spark, "stream_job")
+    raw = dirty_bookings(spark, sf_dir)
+    silver, stream = f"{db}.silver_hotel_bookings", f"{db}.hotel_raw_stream"
+    run_bronze_to_silver(raw.where(F.trim("room_type") == "F"), silver)
+    rates, weather = live_values(spark, sf_dir)
+    overwrite(rates, f"{db}.raw_currency_api")
+    overwrite(weather, f"{db}.raw_weather_api")
+    for half in ("a", "b"):
+        raw.repartition(4, "booking_id").write.json(f"{base}/landing/{half}")
+    ingest_events(spark, f"{base}/landing/*", stream, f"{base}/_ckpt_raw", schema=raw.schema, max_files_per_trigger=3)
+    stream_to_silver(read_table_stream(spark, stream, max_files_per_trigger=3), silver, f"{base}/_ckpt",
+                     rate_table_loader=lambda: spark.read.table(f"{db}.raw_currency_api"),
+                     weather_table_loader=lambda: spark.read.table(f"{db}.raw_weather_api"),
+                     batch_sql=unmatched_sql(silver, "booking_id"))
+    return spark.read.table(silver).drop("silver_processed_at", LOAD_COL)
+
+
+def q_run_order_twice(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The whole run on tables of the catalog, from CSV files to the gold
+    views, and once more over the same landing folders.  Orders of status P
+    come by the stream only; another session reads the revenue view."""
+    db, base = shared_database(spark, "run_order"), shared_dir(spark, "run_order")
+    raw = dirty_bookings(spark, sf_dir).withColumns({"checkin_date": F.col("booking_date"),
+                                                     "checkout_date": F.col("booking_date")})
+    raw.where(F.trim("room_type") != "P").write.option("header", "true").option("escape", '"').csv(f"{base}/batch")
+    raw.write.json(f"{base}/events")
+    e = _events(spark, sf_dir).agg(F.max_by("value", "ts").alias("value"))
+    e.select(F.struct(F.col("value").alias("temperature")).alias("current_weather")).write.json(f"{base}/weather")
+    e.select(F.lit("EUR").alias("base"), F.create_map(F.lit("USD"), F.col("value")).alias("rates")).write.json(
+        f"{base}/currency")
+    for _ in range(2):
+        run_all_stages(spark, f"{base}/batch", f"{base}/weather", f"{base}/currency", f"{base}/events",
+                       f"{base}/root", database=db)
+    return spark.newSession().table(f"{db}.{K.GOLD_KPI_VIEW}")
+
+
+def q_silver_batch_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The batch job that writes silver and reports on itself: its numbers, a
+    row each, and the rows that are in the table."""
+    path = f"{shared_dir(spark, 'silver_metrics')}/silver"
+    raw = dirty_bookings(spark, sf_dir)
+    rates, weather = live_values(spark, sf_dir)
+    report = run_bronze_to_silver(raw.unionByName(raw), path, rate_table=rates, weather_table=weather)
+    numbers = [(f"{part}.{name}", float(v)) for part, own in report.items() for name, v in own.items()]
+    return spark.createDataFrame(numbers, "metric string, value double").unionByName(
+        spark.read.parquet(path).select(F.lit("written.rows").alias("metric"), F.lit(1.0).alias("value"))
+        .groupBy("metric").agg(F.sum("value").alias("value")))
+
+
+def q_percent_ties(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Shares of segments in blocks of 32 customers: odd counts of 32 lie
+    half-way between two hundredths."""
+    c = table(spark, sf_dir, "customer").withColumn("block", F.floor(F.col("c_custkey") / 32))
+    counts = c.groupBy("block", "c_mktsegment").agg(F.count("*").alias("part"))
+    totals = c.groupBy("block").agg(F.count("*").alias("total"))
+    return counts.join(totals, "block").select("block", "c_mktsegment", "part", "total",
+                                               percent("part", "total").alias("share_pct"))
+
+
 # ---------------------------------------------------------------- quality
 
 def _quality_frame(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -401,6 +499,48 @@ def q_quality_gate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{base}/validated")
 
 
+def q_quality_text_stars(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The blocking suite over text: star ratings and coordinates compared
+    with whole bounds."""
+    df = _lineitem_rule_frame(spark, sf_dir, ["l_quantity", "l_extendedprice"]).select(
+        "booking_id", "hotel_id", "star_rating", (F.col("l_quantity") * 1.85).cast("string").alias("latitude"),
+        (F.col("l_extendedprice") / 250).cast("string").alias("longitude"))
+    return quality.quality_report(df, quality.blocking_suite(df))
+
+
+def q_quality_gate_outcomes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What the gate does with customers that fail: each way of reporting (raise
+    and warn), and orders that pass; the JSON reports are read back, and the
+    published tables are looked for."""
+    base = shared_dir(spark, "quality_outcomes")
+    c, o = table(spark, sf_dir, "customer"), table(spark, sf_dir, "orders")
+    failing = c.select((F.col("c_custkey") % 1000).alias("booking_id"),
+                       F.when(F.col("c_mktsegment") != "BUILDING", F.col("c_nationkey")).alias("hotel_id"),
+                       (F.col("c_nationkey") % 7).cast("string").alias("star_rating"),
+                       (F.col("c_acctbal") / 100).alias("latitude"), (F.col("c_acctbal") / 50).alias("longitude"))
+    passing = o.select(F.col("o_orderkey").alias("booking_id"), F.col("o_custkey").alias("hotel_id"),
+                       F.lit("4.5").alias("star_rating"), F.lit(1.0).alias("latitude"), F.lit(2.0).alias("longitude"))
+    out = None
+    for name, df, on_fail in (("raise", failing, "raise"), ("warn", failing, "warn"), ("pass", passing, "raise")):
+        raised = False
+        with warnings.catch_warnings(record=True) as warned:
+            warnings.simplefilter("always")
+            try:
+                validate_and_publish(spark, df, f"{base}/{name}/table", on_fail=on_fail,
+                                     report_path=f"{base}/{name}/report")
+            except QualityGateError:
+                raised = True
+        published = read_path_if_exists(spark, f"{base}/{name}/table")
+        rows = 0 if published is None else published.count()
+        own = read_report(spark, f"{base}/{name}/report").select(
+            F.lit(name).alias("run"), "check_name", "fail_count", "total_records", "success",
+            F.lit(raised).alias("raised"),
+            F.lit(any("QUALITY FAILED" in str(w.message) for w in warned)).alias("warned"),
+            F.lit(rows).cast("long").alias("published_rows"))
+        out = own if out is None else out.unionByName(own)
+    return out
+
+
 # ---------------------------------------------------------------- gold and BI
 
 def q_gold_fact(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -410,7 +550,7 @@ def q_gold_fact(spark: SparkSession, sf_dir: str) -> DataFrame:
 def q_gold_dim_distinct(spark: SparkSession, sf_dir: str) -> DataFrame:
     c = table(spark, sf_dir, "customer")
     n = table(spark, sf_dir, "nation")
-    j = c.join(maybe_broadcast(n), F.col("c_nationkey") == F.col("n_nationkey"), "inner")
+    j = c.join(n, F.col("c_nationkey") == F.col("n_nationkey"), "inner")
     v = j.select(F.initcap(F.lower("c_mktsegment")).alias("city"), F.col("n_name").alias("country"),
                  (F.col("n_regionkey") * 10).cast("double").alias("latitude"),
                  F.col("c_nationkey").cast("double").alias("longitude"))
@@ -430,12 +570,26 @@ def q_gold_validate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return gold.validate_gold_views(spark)
 
 
+def q_gold_views(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Gold views of the catalog over a table by its three-part name, read by
+    another session: the fact joined with its city's dimension rows and the
+    hotel's revenue."""
+    db = f"spark_catalog.{shared_database(spark, 'gold_views')}"
+    validated = f"{db}.silver_hotel_bookings_validated"
+    overwrite(lineitem_silver(spark, sf_dir), validated)
+    gold.validate_gold_views(spark, gold.create_gold_views(spark, validated, db))
+    fact, dim, kpi = (read_table(spark.newSession(), f"{db}.{v}")
+                      for v in (K.GOLD_FACT_VIEW, K.GOLD_DIM_VIEW, K.GOLD_KPI_VIEW))
+    cities = dim.groupBy("city").agg(F.count("*").alias("city_rows"))
+    return fact.join(cities, "city").join(kpi, "hotel_name")
+
+
 def _orders_by_city(spark: SparkSession, sf_dir: str) -> DataFrame:
     o = table(spark, sf_dir, "orders")
     c = table(spark, sf_dir, "customer").select("c_custkey", "c_nationkey")
     n = table(spark, sf_dir, "nation").select("n_nationkey", "n_name")
-    cn = c.join(maybe_broadcast(n), F.col("c_nationkey") == F.col("n_nationkey"))
-    j = o.join(maybe_broadcast(cn), F.col("o_custkey") == F.col("c_custkey"))
+    cn = c.join(n, F.col("c_nationkey") == F.col("n_nationkey"))
+    j = o.join(cn, F.col("o_custkey") == F.col("c_custkey"))
     return j.select(F.when(F.col("o_orderstatus") != "P", F.col("o_orderkey")).alias("booking_id"),
                     F.col("n_name").alias("city"))
 
@@ -445,13 +599,21 @@ def q_bi_count_by_dim(spark: SparkSession, sf_dir: str) -> DataFrame:
     holds the cities where suppliers are."""
     s = table(spark, sf_dir, "supplier")
     n = table(spark, sf_dir, "nation")
-    dim = gold.dim_city(s.join(maybe_broadcast(n), F.col("s_nationkey") == F.col("n_nationkey"))
+    dim = gold.dim_city(s.join(n, F.col("s_nationkey") == F.col("n_nationkey"))
                         .select(F.col("n_name").alias("city"), F.col("n_name").alias("country"),
                                 F.col("n_regionkey").cast("double").alias("latitude"),
                                 F.col("n_nationkey").cast("double").alias("longitude")))
     return bi.count_by_dimension(_orders_by_city(spark, sf_dir), dim)
 
 
+def q_bi_count_unknown(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same with the row that a report shows for cities it doesn't know;
+    the dimension holds the nations of the first three regions."""
+    n = table(spark, sf_dir, "nation").where("n_regionkey < 3")
+    dim = n.select(F.col("n_name").alias("city"), F.col("n_regionkey").alias("country"))
+    return bi.count_by_dimension(_orders_by_city(spark, sf_dir), dim, unknown=True)
+
+
 def q_bi_implicit_totals(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bi.implicit_totals(q_gold_kpi(spark, sf_dir),
                               {"total_revenue": "sum", "total_bookings": "sum"})
@@ -462,9 +624,13 @@ def q_latest_n(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def q_sample_preview(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """An unordered preview of ``n`` rows (the rows themselves are arbitrary,
-    so the check is on how many come back)."""
-    return sample_rows(_events(spark, sf_dir), 10).agg(F.count(F.lit(1)).alias("preview_rows"))
+    """An unordered preview of ten rows.  The rows are arbitrary, so the check
+    is that ten different ones come back and that all of them, looked up by
+    every column, are rows of the table."""
+    e = _events(spark, sf_dir)
+    found = sample_rows(e, 10).join(e.withColumn("found", F.lit(1)), e.columns, "left")
+    return found.agg(F.count(F.lit(1)).alias("preview_rows"), F.count_distinct("event_id").alias("different_rows"),
+                     F.count("found").alias("found_rows"))
 
 
 QUERIES = {
@@ -490,14 +656,22 @@ QUERIES = {
     "stage_metrics": q_stage_metrics,
     "silver_batch": q_silver_batch,
     "silver_stream_upsert": q_silver_stream_upsert,
+    "stream_job": q_stream_job,
+    "run_order_twice": q_run_order_twice,
+    "silver_batch_metrics": q_silver_batch_metrics,
+    "percent_ties": q_percent_ties,
     "quality_report": q_quality_report,
     "quality_blocking": q_quality_blocking,
     "quality_gate": q_quality_gate,
+    "quality_text_stars": q_quality_text_stars,
+    "quality_gate_outcomes": q_quality_gate_outcomes,
     "gold_fact": q_gold_fact,
     "gold_dim_distinct": q_gold_dim_distinct,
     "gold_kpi": q_gold_kpi,
     "gold_validate": q_gold_validate,
+    "gold_views": q_gold_views,
     "bi_count_by_dim": q_bi_count_by_dim,
+    "bi_count_unknown": q_bi_count_unknown,
     "bi_implicit_totals": q_bi_implicit_totals,
     "latest_n": q_latest_n,
     "sample_preview": q_sample_preview,

@@ -18,7 +18,7 @@ from lodgeflow import constants as K
 from lodgeflow.operators import cleaning
 from lodgeflow.operators.dedup import dedup_by_key
 from lodgeflow.operators.enrich import enrich, enrichment_values
-from lodgeflow.functions import percent
+from lodgeflow.functions import percent, percent_of
 from lodgeflow.operators.lookup import lookup_constant
 from lodgeflow.operators.rules import (apply_business_rules, business_rule, drop_null_keys,
                                        null_key_predicate)
@@ -48,7 +48,7 @@ def standardize(df: DataFrame, language_map: Mapping[str, str] = K.LANGUAGE_BY_C
     return cleaning.parse_dates(df)
 
 
-def filter_valid(df: DataFrame, truncate_numeric: bool = False) -> DataFrame:
+def filter_valid(df: DataFrame, truncate_numeric: bool = True) -> DataFrame:
     """Drop rows without ids, then rows breaking the business rules (FLT-1, FLT-2)."""
     return apply_business_rules(drop_null_keys(df), truncate_numeric)
 
@@ -56,7 +56,7 @@ def filter_valid(df: DataFrame, truncate_numeric: bool = False) -> DataFrame:
 def bronze_to_silver(raw: DataFrame, key: str = K.BOOKING_KEY,
                      dedup_order: Sequence[Column] | None = None,
                      rate_table: DataFrame | None = None, weather_table: DataFrame | None = None,
-                     rate_col: str = "eur_rate", truncate_numeric: bool = False,
+                     rate_col: str = "eur_rate", truncate_numeric: bool = True,
                      language_map: Mapping[str, str] = K.LANGUAGE_BY_COUNTRY,
                      keep_language: bool = False) -> DataFrame:
     """The silver rows of a raw booking table (JOB-1 without the write):
@@ -68,31 +68,28 @@ def bronze_to_silver(raw: DataFrame, key: str = K.BOOKING_KEY,
 
 
 def silver_metrics(raw: DataFrame, key: str = K.BOOKING_KEY,
-                   id_cols: Sequence[str] = K.KEY_COLUMNS, truncate_numeric: bool = False,
+                   id_cols: Sequence[str] = K.KEY_COLUMNS, truncate_numeric: bool = True,
                    rule_cols: Mapping[str, str] | None = None,
                    to_booking: Callable[[DataFrame], DataFrame] | None = None) -> DataFrame:
-    """MET-1 and MET-3 in one aggregate over the raw table.
-
-    One group per key carries the group size and the surviving row (smallest
-    row in the default total order), so the de-duplication counts and the
-    filter counts on the survivors come from a single shuffle with map-side
-    combine.  Rules see the survivors after ``standardize`` (ids are
-    rewritten before the null test in the original chain).  ``to_booking``
-    maps survivor rows to booking columns first (it must keep ``__n``).
+    """MET-1 and MET-3 as one report.
+
+    The survivors come from ``dedup_by_key`` (each map task forwards at most
+    one row per key); the raw rows are counted by a scan of no column, and
+    both end in one aggregate.  Rules see the survivors after ``standardize``
+    (ids are rewritten before the null test in the original chain).
+    ``to_booking`` maps survivor rows to booking columns first.
     """
-    rest = [c for c in raw.columns if c != key]
-    grouped = raw.groupBy(key).agg(F.count(F.lit(1)).alias("__n"),
-                                   F.min(F.struct(*[F.col(f"`{c}`") for c in rest])).alias("__s"))
-    survivors = grouped.select("__n", F.col(key), "__s.*")
+    survivors = dedup_by_key(raw, key)
     if to_booking is not None:
         survivors = to_booking(survivors)
     survivors = standardize(survivors)
     nk = null_key_predicate(list(id_cols))
     rule = business_rule(truncate_numeric=truncate_numeric, **(rule_cols or {}))
-    r = survivors.agg(F.sum("__n").alias("rows_before"), F.count(F.lit(1)).alias("rows_after_dedup"),
-                      F.count_if(nk).alias("null_key_rows"),
-                      F.count_if(~nk & F.coalesce(rule, F.lit(False))).alias("rows_after_filter"))
-    r = r.na.fill(0, ["rows_before"])
+    kept = ~nk & F.coalesce(rule, F.lit(False))
+    facts = survivors.select(F.lit(False).alias("raw"), nk.alias("null_key"), kept.alias("kept")).unionByName(
+        raw.select(F.lit(True).alias("raw"), F.lit(False).alias("null_key"), F.lit(False).alias("kept")))
+    r = facts.agg(F.count_if("raw").alias("rows_before"), F.count_if(~F.col("raw")).alias("rows_after_dedup"),
+                  F.count_if("null_key").alias("null_key_rows"), F.count_if("kept").alias("rows_after_filter"))
     return r.select(
         "rows_before", (F.col("rows_before") - F.col("rows_after_dedup")).alias("duplicates_removed"),
         "rows_after_dedup",
@@ -123,15 +120,11 @@ def write_silver(df: DataFrame, target: str, load_id: str = "batch",
         df.limit(0).write.mode("overwrite").parquet(f"{target.rstrip('/')}/{LOAD_COL}={load_id}")
 
 
-def _pct(part: int, total: int) -> float | None:
-    return None if not total else float((200 * 100 * part + total) // (2 * total)) / 100
-
-
 def run_bronze_to_silver(raw: DataFrame, target: str, key: str = K.BOOKING_KEY,
                          id_cols: Sequence[str] = K.KEY_COLUMNS,
                          dedup_order: Sequence[Column] | None = None,
                          rate_table: DataFrame | None = None, weather_table: DataFrame | None = None,
-                         rate_col: str = "eur_rate", truncate_numeric: bool = False,
+                         rate_col: str = "eur_rate", truncate_numeric: bool = True,
                          language_map: Mapping[str, str] = K.LANGUAGE_BY_COUNTRY,
                          keep_language: bool = False) -> dict:
     """JOB-1 as one job: build and write silver, and return the stage metrics
@@ -160,25 +153,28 @@ def run_bronze_to_silver(raw: DataFrame, target: str, key: str = K.BOOKING_KEY,
     c = o_clean.get
     return {
         "dedup": {"rows_before": before, "rows_removed": before - after, "rows_after": after,
-                  "removed_pct": _pct(before - after, before)},
+                  "removed_pct": percent_of(before - after, before)},
         "lookup": {"total": c["rows"], "filled": c["filled"], "missing": c["rows"] - c["filled"],
-                   "filled_pct": _pct(c["filled"], c["rows"]),
-                   "missing_pct": _pct(c["rows"] - c["filled"], c["rows"])},
+                   "filled_pct": percent_of(c["filled"], c["rows"]),
+                   "missing_pct": percent_of(c["rows"] - c["filled"], c["rows"])},
         "filter": {"rows_before": c["rows"], "null_key_rows": c["null_keys"],
                    "rule_failures": c["rows"] - c["kept"] - c["null_keys"], "rows_after": c["kept"],
-                   "loss_pct": _pct(c["rows"] - c["kept"], c["rows"])},
+                   "loss_pct": percent_of(c["rows"] - c["kept"], c["rows"])},
         "enrichment": values,
     }
 
 
 def stream_to_silver(stream: DataFrame, target: str, checkpoint: str, key: str = K.BOOKING_KEY,
                      rate_table_loader=None, weather_table_loader=None,
-                     truncate_numeric: bool = False, dedup_order: Sequence[Column] | None = None,
+                     truncate_numeric: bool = True, dedup_order: Sequence[Column] | None = None,
                      language_map: Mapping[str, str] = K.LANGUAGE_BY_COUNTRY,
-                     keep_language: bool = False) -> None:
+                     keep_language: bool = False, batch_sql: str | None = None) -> None:
     """JOB-2: the same row-wise chain on the stream, then per micro-batch the
     enrichment (reference tables re-read every batch) and the insert-only
-    upsert.  Waits until everything available is processed."""
+    upsert.  Waits until everything available is processed.
+
+    ``batch_sql`` selects what is inserted from the enriched micro-batch's
+    view ``updates`` (``streaming.upsert.unmatched_sql`` for example)."""
     cleaned = filter_valid(standardize(stream, language_map, keep_language), truncate_numeric)
 
     def per_batch(batch: DataFrame) -> DataFrame:
@@ -186,4 +182,4 @@ def stream_to_silver(stream: DataFrame, target: str, checkpoint: str, key: str =
         weather = weather_table_loader() if weather_table_loader else None
         return enrich(batch, rate_table=rates, weather_table=weather)
 
-    run_upsert(cleaned, target, checkpoint, key, per_batch, dedup_order)
+    run_upsert(cleaned, target, checkpoint, key, per_batch, dedup_order, batch_sql=batch_sql)

@@ -10,6 +10,7 @@ executor can see.
 from __future__ import annotations
 
 import os
+import re
 import tempfile
 import uuid
 
@@ -45,13 +46,6 @@ CLUSTER_CONF = {
 }
 
 
-def shuffle_partitions_for(input_bytes: int, partition_bytes: int = 256 * 1024 * 1024,
-                           minimum: int = 200) -> int:
-    """Shuffle partitions so that one partition holds ~``partition_bytes`` of
-    shuffled data (AQE coalesces further when a stage shrinks)."""
-    return max(minimum, -(-int(input_bytes) // partition_bytes))
-
-
 def get_session(master: str | None = None, app_name: str = "lodgeflow",
                 shuffle_partitions: int | None = None, extra: dict | None = None,
                 cluster: bool = False) -> SparkSession:
@@ -91,9 +85,10 @@ def is_path(target: str) -> bool:
 def checkpoint_root(spark: SparkSession) -> str:
     """The cluster's shared checkpoint folder (``spark.checkpoint.dir``).
 
-    Read from the session.  Only when nothing is configured (local runs and
-    tests) a private folder is created and registered, so ``DataFrame.checkpoint``
-    and our own intermediate tables land in the same place.
+    Read from the session.  Only on a local master (tests) is a private folder
+    created and registered where nothing is configured, so that
+    ``DataFrame.checkpoint`` and our own tables land in the same place; on a
+    cluster no machine's own folder would do, so that is an error.
     """
     try:
         sc = spark.sparkContext
@@ -105,6 +100,9 @@ def checkpoint_root(spark: SparkSession) -> str:
     if not configured and sc is not None:
         configured = sc.getConf().get("spark.checkpoint.dir", None)
     if not configured:
+        master = sc.master if sc is not None else spark.conf.get("spark.master", "")
+        if not re.match(r"local(\[|$)", master):
+            raise ValueError(f"set spark.checkpoint.dir to a folder that all machines of {master or 'the cluster'} share")
         configured = tempfile.mkdtemp(prefix="lodgeflow-ckpt-")
     if sc is None:
         return configured
@@ -116,3 +114,10 @@ def shared_dir(spark: SparkSession, name: str, unique: bool = True) -> str:
     """A sub-folder of the shared checkpoint folder for one job's tables."""
     leaf = f"{name}-{uuid.uuid4().hex[:12]}" if unique else name
     return os.path.join(checkpoint_root(spark), "lodgeflow", leaf)
+
+
+def shared_database(spark: SparkSession, name: str) -> str:
+    """A database of its own for one job's tables, in the shared folder."""
+    leaf = f"{name}_{uuid.uuid4().hex[:12]}"
+    spark.sql(f"CREATE DATABASE {leaf} LOCATION '{shared_dir(spark, leaf, unique=False)}'")
+    return leaf

@@ -46,8 +46,3 @@ def write_report_json(spark: SparkSession, report: dict, path: str) -> None:
     """Write a small report dict as one JSON document (a single file)."""
     spark.createDataFrame([(json.dumps(report),)], "value string").coalesce(1) \
         .write.mode("overwrite").text(path)
-
-
-def register_view(df: DataFrame, name: str) -> DataFrame:
-    df.createOrReplaceTempView(name)
-    return df

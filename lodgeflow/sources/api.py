@@ -51,8 +51,3 @@ def currency_rows(payloads: DataFrame, codes: Sequence[str] = CURRENCY_CODES,
 
 def read_payloads(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
     return spark.read.schema(schema).json(path)
-
-
-def parse_payloads(df: DataFrame, text_col: str, schema: StructType) -> DataFrame:
-    """The same, for bodies held in a text column."""
-    return df.select(F.from_json(F.col(text_col), schema).alias("__p"), "*").select("__p.*")

@@ -2,8 +2,9 @@
 
 Events are landed as JSON files; the stream reads them with an explicit
 all-text schema (no inference, malformed fields become null) and appends them
-unchanged to a parquet table.  The file sink commits through its own log, so
-a restarted query never duplicates a file's rows.
+unchanged to a raw table, a folder or a table of the catalog.  The file sink
+commits through its own log, so a restarted query never duplicates a file's
+rows.
 """
 
 from __future__ import annotations
@@ -52,7 +53,8 @@ def start_raw_ingest(stream: DataFrame, target: str, checkpoint: str,
     w = (stream.writeStream.format(fmt).outputMode("append")
          .option("checkpointLocation", checkpoint))
     w = w.trigger(availableNow=True) if available_now else w
-    return w.start(target)
+    # a name is a table of the catalog, created on first use; a path is a folder
+    return w.start(target) if is_path(target) else w.toTable(target)
 
 
 def ingest_events(spark: SparkSession, source: str, target: str, checkpoint: str,
@@ -70,13 +72,13 @@ def read_table_stream(spark: SparkSession, name_or_path: str, schema: StructType
 
     A folder needs its schema; it is taken from the table itself when not
     given (one metadata read, no data scan)."""
-    if not is_path(name_or_path):
-        return spark.readStream.table(name_or_path)
-    schema = schema or spark.read.format(fmt).load(name_or_path).schema
-    reader = spark.readStream.schema(schema).format(fmt)
+    reader = spark.readStream
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", str(max_files_per_trigger))
-    return reader.load(name_or_path)
+    if not is_path(name_or_path):
+        return reader.table(name_or_path)
+    schema = schema or spark.read.format(fmt).load(name_or_path).schema
+    return reader.schema(schema).format(fmt).load(name_or_path)
 
 
 def dedup_within_watermark(stream: DataFrame, keys, event_time: str, delay: str) -> DataFrame:

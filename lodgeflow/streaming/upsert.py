@@ -51,7 +51,14 @@ def write_load(df: DataFrame, target: str, exists: bool, options: dict | None =
     if is_path(target):
         w.partitionBy(LOAD_COL).parquet(target)
     elif exists:
-        w.insertInto(target)  # by position: ``df`` follows the table's column order
+        # an insert takes the mode from the session alone
+        conf, mode = df.sparkSession.conf, "spark.sql.sources.partitionOverwriteMode"
+        before = conf.get(mode)
+        conf.set(mode, "dynamic")
+        try:
+            w.insertInto(target)  # by position: ``df`` follows the table's column order
+        finally:
+            conf.set(mode, before)
     else:
         w.partitionBy(LOAD_COL).format("parquet").saveAsTable(target)
 
@@ -139,22 +146,40 @@ def stream_identity(spark: SparkSession, checkpoint: str) -> str:
         return spark.read.text(path).first()[0]
 
 
+def unmatched_sql(target: str, keys: str | Sequence[str], batch_view: str = "updates") -> str:
+    """SQL for the rows of the micro-batch view whose key the target (a table
+    of the catalog) does not hold: the WHEN NOT MATCHED half of a merge.  What
+    an earlier attempt of the same load wrote doesn't count as held."""
+    keys = [keys] if isinstance(keys, str) else list(keys)
+    on = " AND ".join(f"t.`{k}` = u.`{k}`" for k in keys)
+    return f"SELECT u.* FROM {batch_view} AS u LEFT ANTI JOIN {target} AS t ON {on} AND t.{LOAD_COL} <> :load_id"
+
+
 def start_upsert(stream: DataFrame, target: str, checkpoint: str, keys: str | Sequence[str],
                  transform: Callable[[DataFrame], DataFrame] | None = None,
                  order_by: Sequence[Column] | None = None,
-                 available_now: bool = True, batch_view: str | None = "updates") -> StreamingQuery:
+                 available_now: bool = True, batch_view: str | None = "updates",
+                 batch_sql: str | None = None) -> StreamingQuery:
     """Start the upsert.  ``transform`` runs on each micro-batch as a static
     DataFrame (for example enrichment that re-reads reference tables).  The
     micro-batch is also registered as temporary view ``batch_view`` so SQL
-    run from ``transform`` can refer to it."""
+    run from ``transform`` can refer to it.
+
+    ``batch_sql`` is a query over that view, run in the micro-batch's own
+    session after ``transform`` (whose result the view then shows); only its
+    rows are inserted.  It may use ``:load_id``."""
     spark = stream.sparkSession
     sid = stream_identity(spark, checkpoint)
 
     def each_batch(batch: DataFrame, batch_id: int) -> None:
+        load_id = f"{sid}-{batch_id:012d}"
         if batch_view:
             batch.createOrReplaceTempView(batch_view)
         df = transform(batch) if transform else batch
-        insert_new_rows(df, target, keys, f"{sid}-{batch_id:012d}", order_by)
+        if batch_sql:
+            df.createOrReplaceTempView(batch_view)
+            df = batch.sparkSession.sql(batch_sql, args={"load_id": load_id})
+        insert_new_rows(df, target, keys, load_id, order_by)
 
     w = (stream.writeStream.foreachBatch(each_batch).outputMode("update")
          .option("checkpointLocation", checkpoint))
@@ -164,9 +189,11 @@ def start_upsert(stream: DataFrame, target: str, checkpoint: str, keys: str | Se
 
 def run_upsert(stream: DataFrame, target: str, checkpoint: str, keys: str | Sequence[str],
                transform: Callable[[DataFrame], DataFrame] | None = None,
-               order_by: Sequence[Column] | None = None, batch_view: str | None = "updates") -> None:
+               order_by: Sequence[Column] | None = None, batch_view: str | None = "updates",
+               batch_sql: str | None = None) -> None:
     """Drain the stream into the target and wait for it to finish."""
-    q = start_upsert(stream, target, checkpoint, keys, transform, order_by, batch_view=batch_view)
+    q = start_upsert(stream, target, checkpoint, keys, transform, order_by, batch_view=batch_view,
+                     batch_sql=batch_sql)
     q.awaitTermination()
     if q.exception():
         raise q.exception()

@@ -55,9 +55,9 @@ def test_fractional_text_rules(spark, bookings):
     df = bookings([booking_row(booking_id="STAR", star_rating="5.9"),
                    booking_row(booking_id="PRICE", total_price="0.9")])
     default = sorted(r[0] for r in apply_business_rules(df).select("booking_id").collect())
-    legacy = sorted(r[0] for r in apply_business_rules(df, truncate_numeric=True).select("booking_id").collect())
-    assert default == ["PRICE"]
-    assert legacy == ["STAR"]
+    doubles = sorted(r[0] for r in apply_business_rules(df, truncate_numeric=False).select("booking_id").collect())
+    assert default == ["STAR"]      # 5.9 is compared as 5, 0.9 as 0
+    assert doubles == ["PRICE"]
 
 
 def test_lookup_constant_missing_and_null(spark):
@@ -101,14 +101,13 @@ def test_keep_language_option(spark, bookings):
     assert kept == {"B1": "Klingon", "B2": "Turkish"}
 
 
-def test_lookup_table_falls_back_to_shuffle_join(spark):
+def test_lookup_table_leaves_the_strategy_to_measured_sizes(spark):
     df = spark.createDataFrame([("A",), ("B",)], "c string")
-    d = spark.createDataFrame([("A", "x"), ("B", "y")], "k string, v string")
-    from lodgeflow.operators.joins import fits_broadcast, maybe_broadcast
-    hinted = lambda x: "strategy=broadcast" in x._jdf.queryExecution().analyzed().toString()
-    assert not fits_broadcast(d, 1) and not hinted(maybe_broadcast(d, 1))
-    assert fits_broadcast(d, 2) and hinted(maybe_broadcast(d, 2))
-    out = lookup_table(df, "c", d, "k", "v", "out", max_broadcast_rows=1)
+    d = spark.createDataFrame([("A", "x"), ("B", "y"), ("B", "z")], "k string, v string")
+    jobs = spark.sparkContext.statusTracker().getJobIdsForGroup(None)
+    out = lookup_table(df, "c", d, "k", "v", "out")
+    assert spark.sparkContext.statusTracker().getJobIdsForGroup(None) == jobs  # no job while it is built
+    assert "strategy=broadcast" not in out._jdf.queryExecution().analyzed().toString()
     assert sorted(tuple(r) for r in out.collect()) == [("A", "x"), ("B", "y")]
 
 

@@ -1,6 +1,6 @@
 from pyspark.sql import functions as F
 
-from lodgeflow.functions import (as_decimal, as_number, clean_coordinate, digits_only, parse_date,
+from lodgeflow.functions import (as_compared, as_decimal, as_number, percent_of, clean_coordinate, digits_only, parse_date,
                                  percent, strip_special, title_text)
 
 
@@ -40,12 +40,27 @@ def test_parse_date_bad_text_is_null(spark):
     assert one(spark, parse_date, "") is None
 
 
-def test_as_number_default_and_truncating(spark):
-    vals = ["4.5", "5.9", "0.9", "x", None]
-    df = spark.createDataFrame([(v,) for v in vals], "v string")
-    got = df.select(as_number("v").alias("d"), as_number("v", truncate=True).alias("t")).collect()
-    assert [r["d"] for r in got] == [4.5, 5.9, 0.9, None, None]
-    assert [r["t"] for r in got] == [4, 5, 0, None, None]
+def test_text_as_a_number_and_as_compared_with_whole_numbers(spark):
+    want = {"4.5": (4.5, 4), "5.9": (5.9, 5), "0.9": (0.9, 0), "x": (None, None), None: (None, None),
+            "1e1": (10.0, None), "": (None, None), " 3 ": (3.0, 3), "\t+7.": (7.0, 7), ".5": (0.5, 0), "-0.5": (-0.5, 0),
+            "-.5": (-0.5, 0), "-3.9": (-3.9, -3), "-": (None, None), "4.x": (None, None), "1.2.3": (None, None),
+            "99999999999": (99999999999.0, None), "2147483647.9": (2147483647.9, 2147483647), "007": (7.0, 7)}
+    df = spark.createDataFrame([(v,) for v in want], "v string")
+    got = df.select(as_number("v").alias("d"), as_compared("v").alias("t")).collect()
+    assert [tuple(r) for r in got] == list(want.values())
+
+
+def test_columns_that_are_no_text_are_compared_as_they_are(spark):
+    df = spark.createDataFrame([(0.9, 2)], "d double, i int")
+    assert df.select(as_compared("d"), as_compared("i")).first()[:] == (0.9, 2.0)
+
+
+def test_percent_of_is_percent(spark):
+    pairs = [(p, t) for t in (0, 1, 3, 7, 32, 96, 160, 800, 4000, 20000) for p in range(0, t + 1, max(1, t // 40))]
+    df = spark.createDataFrame([(i, p, t) for i, (p, t) in enumerate(pairs)], "i int, p long, t long")
+    got = [r[0] for r in df.orderBy("i").select(percent("p", "t")).collect()]
+    assert got == [percent_of(p, t) for p, t in pairs]
+    assert percent_of(1, 32) == 3.12 and percent_of(3, 32) == 9.38
 
 
 def test_decimal_rounds_half_up(spark):

@@ -15,7 +15,7 @@ sys.path.insert(0, ROOT)
 import __spark_entry__ as E  # noqa: E402
 
 SF = "/root/testdata/sf0.001"
-TABLES = "region nation customer supplier part orders lineitem events documents".split()
+TABLES = "region nation customer supplier part orders lineitem events documents benchmark labels".split()
 SPARK_TO_DUCK = {"string": "VARCHAR", "bigint": "BIGINT", "int": "INTEGER", "double": "DOUBLE",
                  "date": "DATE", "boolean": "BOOLEAN", "timestamp_ntz": "TIMESTAMP"}
 

@@ -98,8 +98,8 @@ def test_text_columns_never_raise_under_ansi(spark):
         "checkout_date string, checkin_date string, phone string")
     assert spark.conf.get("spark.sql.ansi.enabled") == "true"
     fails = {r["name"]: r["fail_count"] for r in Q.evaluate(df, Q.extended_suite(df))["results"]}
-    assert fails["Star Rating Range (1-5)"] == 1           # 5.9; 'x' is null, not a failure
+    assert fails["Star Rating Range (1-5)"] == 0           # 5.9 is compared as 5; 'x' is null, not a failure
     assert fails["Lat/Long Range Check"] == 1               # 95
     assert fails["Date Logic (Checkout >= Checkin)"] == 0
-    legacy = {r["name"]: r["fail_count"] for r in Q.evaluate(df, Q.extended_suite(df, truncate_numeric=True))["results"]}
-    assert legacy["Star Rating Range (1-5)"] == 0          # 5.9 -> 5
+    doubles = {r["name"]: r["fail_count"] for r in Q.evaluate(df, Q.extended_suite(df, truncate_numeric=False))["results"]}
+    assert doubles["Star Rating Range (1-5)"] == 1         # 5.9
