@@ -4,18 +4,8 @@ from __future__ import annotations
 
 import numpy as np
 
-_BASE = np.uint64(0x9E3779B97F4A7C15)
-_powers = np.ones(1, dtype=np.uint64)
-
-
-def powers(n: int) -> np.ndarray:
-    """The base's powers modulo 2**64, from 0 to at least ``n - 1``."""
-    global _powers
-    if len(_powers) < n:
-        steps = np.full(max(n, 2 * len(_powers)), _BASE, dtype=np.uint64)
-        steps[0] = 1
-        _powers = np.multiply.accumulate(steps)
-    return _powers
+_STEP = np.uint64(0x9E3779B97F4A7C15)
+_factors = np.ones(0, dtype=np.uint64)
 
 
 def mix(h: np.ndarray) -> np.ndarray:
@@ -25,6 +15,17 @@ def mix(h: np.ndarray) -> np.ndarray:
     return h ^ (h >> np.uint64(31))
 
 
+def factors(n: int) -> np.ndarray:
+    """An odd 64-bit number for each place, from 0 to at least ``n - 1``, that
+    has nothing to do with those of other places.  (Powers of one base would
+    not do: modulo 2**64 words of two letters in Thue-Morse order collide for
+    every base.)"""
+    global _factors
+    if len(_factors) < n:
+        _factors = mix(np.arange(1, max(n, 2 * len(_factors)) + 1, dtype=np.uint64) * _STEP) | np.uint64(1)
+    return _factors
+
+
 def run_hashes(data: np.ndarray, starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:
     """64-bit hash of each run of bytes; equal runs hash alike wherever they
     stand.  Runs are disjoint and in order."""
@@ -34,7 +35,7 @@ def run_hashes(data: np.ndarray, starts: np.ndarray, lengths: np.ndarray) -> np.
     shift = np.repeat(starts - np.cumsum(lengths) + lengths, lengths)
     at = np.arange(total) + shift
     rel = at - np.repeat(starts, lengths)
-    values = (data[at].astype(np.uint64) + np.uint64(1)) * powers(int(lengths.max()) + 1)[rel]
+    values = (data[at].astype(np.uint64) + np.uint64(1)) * factors(int(lengths.max()))[rel]
     return mix(np.add.reduceat(values, np.cumsum(lengths) - lengths) + lengths.astype(np.uint64))
 
 
