@@ -11,6 +11,8 @@ each step needs only sums that Spark takes over all documents.
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -74,20 +76,20 @@ def lexicon(docs: DataFrame, labelled: DataFrame, domains: list[str], bound: int
     return table.select("feature", *[f"w{k}" for k in range(len(domains))]), [x + (a or 0.0) for x, a in zip(prior, absent)]
 
 
-def posteriors(docs: DataFrame, labelled: DataFrame, domains: list[str]) -> DataFrame:
-    """(row, doc_id, tokens, p0, p1, ...) of every row, written once."""
+def posteriors(docs: DataFrame, labelled: DataFrame, domains: list[str], carry: Sequence[str] = ()) -> DataFrame:
+    """(row, doc_id, carry..., tokens, p0, p1, ...) of every row, written once."""
     words, prior = lexicon(docs, labelled, domains)
-    each = _features(docs)
+    each = _features(docs, *carry)
     # at most LEXICON rows; the left join keeps each text's first row
     hits = each.join(F.broadcast(words), "feature", "left").where("head or w0 is not null")
     names = [f"w{k}" for k in range(len(domains))]
-    once = hits.groupBy("row", "doc_id", "tokens", "feature").agg(*[F.first(w).alias(w) for w in names])
-    logs = once.groupBy("row", "doc_id", "tokens").agg(
+    once = hits.groupBy("row", "doc_id", *carry, "tokens", "feature").agg(*[F.first(w).alias(w) for w in names])
+    logs = once.groupBy("row", "doc_id", *carry, "tokens").agg(
         *[(F.coalesce(F.sum(w), F.lit(0.0)) + prior[k]).alias(f"l{k}") for k, w in enumerate(names)])
     top = F.greatest(*[F.col(f"l{k}") for k in range(len(domains))], F.lit(-1e308))
     mass = [F.exp(F.col(f"l{k}") - top) for k in range(len(domains))]
     whole = sum(mass, F.lit(0.0))
-    return written(logs.select("row", "doc_id", "tokens", *[(m / whole).alias(f"p{k}") for k, m in enumerate(mass)]),
+    return written(logs.select("row", "doc_id", *carry, "tokens", *[(m / whole).alias(f"p{k}") for k, m in enumerate(mass)]),
                    "mixing-posteriors")
 
 
@@ -139,23 +141,24 @@ def fit_rates(members: DataFrame, domains: list[str], weights: dict[str, float],
     return rate_at(point), report
 
 
-def mixed(docs: DataFrame, labelled: DataFrame, weights: dict[str, float], headroom: float = 1.0) -> DataFrame:
+def mixed(docs: DataFrame, labelled: DataFrame, weights: dict[str, float], headroom: float = 1.0,
+          carry: Sequence[str] = ()) -> DataFrame:
     """Per row ``doc_id, n_tokens, domain, p_<domain>..., rate, copies``:
     ``copies`` is the rate rounded up or down by a hash of the id, so that its
-    expectation is the rate.
+    expectation is the rate.  Columns named in ``carry`` go along.
 
     ``labelled`` has ``doc_id, domain``; labels of other domains are ignored.
     A null or empty text counts as one token and has the priors for posterior;
     without labels all domains are equally likely; repeated rows each get a
     row; a null ``doc_id`` is carried; an empty table gives an empty result."""
     domains = sorted(weights)
-    members = posteriors(docs, labelled, domains)
+    members = posteriors(docs, labelled, domains, carry)
     rate, _ = fit_rates(members, domains, weights, headroom)
     names = F.array(*[F.lit(d) for d in domains])
     best = F.array(*[F.col(f"p{k}") for k in range(len(domains))])
     place = F.pmod(F.xxhash64("doc_id", F.lit("copies")), F.lit(1_000_000)) / 1_000_000
     return members.select(
-        "doc_id", F.col("tokens").cast("long").alias("n_tokens"),
+        "doc_id", *carry, F.col("tokens").cast("long").alias("n_tokens"),
         F.element_at(names, F.array_position(best, F.array_max(best)).cast("int")).alias("domain"),
         *[F.col(f"p{k}").alias(f"p_{d}") for k, d in enumerate(domains)], rate.alias("rate"),
     ).withColumn("copies", F.floor(F.col("rate") + place).cast("int"))

@@ -29,10 +29,11 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import DateType, NumericType, StructType, TimestampType
 
 from lodgeflow.llm.bytewords import LOWER, mix, run_hashes, text_bytes
 from lodgeflow.llm.components import connected
-from lodgeflow.llm.shared import map_arrow, slices, texts, written
+from lodgeflow.llm.shared import freed, map_arrow, slices, texts, written
 
 _U = np.uint64
 #: Second parts; one of them is left out in turn.
@@ -46,7 +47,7 @@ BAND = 1.5
 SKETCH = 1024
 #: Rounds in which buckets are compared with one member.
 ROUNDS = 2
-#: Rows of five numbers (40 MB) up to which a list of documents is broadcast.
+#: Rows of a few numbers (50 MB) up to which a list of documents is broadcast.
 BROADCAST_ROWS = 1_000_000
 #: Texts that are compared with one text in a task.
 GROUP = 500
@@ -228,6 +229,12 @@ def _possible(one: str, two: str, num: int, den: int) -> Column:
     return (den * F.least(n, m) >= num * F.greatest(n, m)) & (_differ(one, two) * (den + num) <= (n + m) * (den - num))
 
 
+def _fixed(kind) -> bool:
+    """Whether all values of the type have the same few bytes."""
+    return all(_fixed(f.dataType) for f in kind.fields) if isinstance(kind, StructType) else isinstance(
+        kind, (NumericType, DateType, TimestampType))
+
+
 def _linked_of(pairs: DataFrame, docs: DataFrame, classes: DataFrame, width: int, num: int, den: int) -> DataFrame:
     """The pairs (a, b) of nodes that link, by their common shingles; written
     once.  The texts of ``b`` meet that of ``a`` in one task; where an ``a`` has
@@ -240,9 +247,8 @@ def _linked_of(pairs: DataFrame, docs: DataFrame, classes: DataFrame, width: int
         "node").agg(F.min("doc_id").alias("doc_id"))
     asked = written(asked.join(wanted, "node"), "ngram-asked")
     # few documents come this far as a rule: then the list goes to the texts, else both are dealt by id
-    if asked.count() <= BROADCAST_ROWS:
-        asked = F.broadcast(asked)
-    rows = (texts(docs).join(asked, "doc_id").select("a", "part", "place", "node", "text")
+    sent = F.broadcast(asked) if _fixed(asked.schema) and asked.count() <= BROADCAST_ROWS else asked
+    rows = (texts(docs).join(sent, "doc_id").select("a", "part", "place", "node", "text")
             .repartition("a", "part").sortWithinPartitions("a", "part", "place", "node"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -265,7 +271,9 @@ def _linked_of(pairs: DataFrame, docs: DataFrame, classes: DataFrame, width: int
                             found[1].append(node[k])
             yield pa.RecordBatch.from_arrays([pa.array(x, pa.int64()) for x in found], ["a", "b"])
 
-    return written(map_arrow(rows, run, "a long, b long").distinct(), "ngram-links")
+    links = written(map_arrow(rows, run, "a long, b long").distinct(), "ngram-links")
+    freed(asked)
+    return links
 
 
 def linked(docs: DataFrame, width: int = 5, num: int = 80, den: int = 100) -> DataFrame:
@@ -288,7 +296,8 @@ def linked(docs: DataFrame, width: int = 5, num: int = 80, den: int = 100) -> Da
     alike = met.groupBy("sign").agg(F.count("*").alias("size"), F.min("node").alias("low"), F.max("node").alias("high"),
                                     F.bit_xor(F.xxhash64("node")).alias("all"))
     alike = alike.groupBy("size", "low", "high", "all").agg(F.min("sign").alias("sign"))
-    met = written(met.join(alike.select("sign"), "sign", "left_semi"), "ngram-buckets")
+    all_met, met = met, written(met.join(alike.select("sign"), "sign", "left_semi"), "ngram-buckets")
+    freed(all_met)
     words = [f"s{k}" for k in range(SKETCH // 64)]  # numbers, so that rows are told apart by hash and not by sorting
     facts = written(classes.where("doc_id is not null and node is not null").select(
         "node", "n", *[F.col("sketch")[k].alias(w) for k, w in enumerate(words)]).dropDuplicates(["node"]).select(

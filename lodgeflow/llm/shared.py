@@ -18,14 +18,32 @@ def read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+#: Spark's setting by which a query's shuffle files go when the query has ended.
+_CLEAN = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
 def written(df: DataFrame, name: str) -> DataFrame:
     """``df`` as a Parquet table in the cluster's shared folder.
 
     Everything that later steps read more than once, or that must not be
-    computed anew when an executor is lost, goes through here."""
-    path = shared_dir(df.sparkSession, f"llm-{name}")
-    df.write.option("compression", "zstd").parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    computed anew when an executor is lost, goes through here.  Nothing reads
+    the shuffle files once the table is there, so they don't stay on disk."""
+    spark = df.sparkSession
+    path = shared_dir(spark, f"llm-{name}")
+    before = spark.conf.get(_CLEAN, "false")
+    spark.conf.set(_CLEAN, "true")
+    try:
+        df.write.option("compression", "zstd").parquet(path)
+    finally:
+        spark.conf.set(_CLEAN, before)
+    table = spark.read.schema(df.schema).parquet(path)
+    table.written_to = path
+    return table
+
+
+def freed(table: DataFrame) -> None:
+    """Give up the rows of a table that ``written`` made and nothing reads any more."""
+    table.sparkSession.createDataFrame([], table.schema).write.mode("overwrite").parquet(table.written_to)
 
 
 def ship_code(spark: SparkSession) -> None:
