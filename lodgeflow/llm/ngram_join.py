@@ -16,8 +16,9 @@ few rounds with another one each, which links a group of near copies by some
 pairs per member.  Then the members that are not connected yet are compared
 among each other.  Before a pair's shingles are looked at, a sketch of parities
 (1024 counters modulo 2) must leave a link possible: it bounds the number of
-differing elements from below, so nothing is lost.  Every pair that is left is
-decided by its exact count of common shingles.
+differing elements from below, so nothing is lost.  On large sets all those
+counters are full and bound nothing; these have a second sketch that grows with
+them.  Every pair that is left is decided by its exact count of common shingles.
 """
 
 from __future__ import annotations
@@ -164,14 +165,24 @@ def sketch(values: np.ndarray) -> np.ndarray:
     return np.packbits(np.bincount(at, minlength=SKETCH).astype(np.uint8) & 1, bitorder="little").view("<i8")
 
 
+def wide_sketch(values: np.ndarray) -> np.ndarray | None:
+    """The same with at least as many counters as elements (a power of two,
+    so that a sketch folds to half its size), where ``SKETCH`` are too few."""
+    if len(values) <= SKETCH:
+        return None
+    n = 1 << (len(values) - 1).bit_length()
+    at = (mix(values + _U(0x6C62272E07BB0142)) % _U(n)).astype(np.int64)
+    return np.packbits(np.bincount(at, minlength=n).astype(np.uint8) & 1, bitorder="little").view("<i8")
+
+
 def _node(values: np.ndarray) -> int:
     """The name of a set's class."""
     return int(mix(mix(values).sum(keepdims=True, dtype=np.uint64) + _U(len(values)))[0].astype(np.int64))
 
 
 def _classes(docs: DataFrame, width: int) -> DataFrame:
-    """(doc_id, n, node, sketch), written once: ``node`` names the set's class
-    (null for an empty set)."""
+    """(doc_id, n, node, sketch, wide), written once: ``node`` names the set's
+    class (null for an empty set)."""
     kind = docs.schema["doc_id"].dataType.simpleString()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -183,10 +194,11 @@ def _classes(docs: DataFrame, width: int) -> DataFrame:
                 yield pa.RecordBatch.from_arrays(
                     [batch.column("doc_id").slice(a, b - a), pa.array(np.diff(cuts), pa.int64()),
                      pa.array([_node(x) if len(x) else None for x in sets], pa.int64()),
-                     pa.array([sketch(x) if len(x) else None for x in sets], pa.list_(pa.int64()))],
-                    ["doc_id", "n", "node", "sketch"])
+                     pa.array([sketch(x) if len(x) else None for x in sets], pa.list_(pa.int64())),
+                     pa.array([wide_sketch(x) for x in sets], pa.list_(pa.int64()))],
+                    ["doc_id", "n", "node", "sketch", "wide"])
 
-    schema = f"doc_id {kind}, n long, node long, sketch array<long>"
+    schema = f"doc_id {kind}, n long, node long, sketch array<long>, wide array<long>"
     return written(map_arrow(texts(docs), run, schema), "ngram-classes")
 
 
@@ -229,6 +241,25 @@ def _possible(one: str, two: str, num: int, den: int) -> Column:
     return (den * F.least(n, m) >= num * F.greatest(n, m)) & (_differ(one, two) * (den + num) <= (n + m) * (den - num))
 
 
+def _still_possible(pairs: DataFrame, wides: DataFrame, num: int, den: int) -> DataFrame:
+    """The pairs of which the wide sketches, where both have one, leave a link
+    possible.  The larger of two sketches is folded to the other's size."""
+    x, y = F.col("x.wide"), F.col("y.wide")
+
+    def folded(long: Column, short: Column) -> Column:
+        half = F.size(short)
+        return F.when(F.size(long) == 2 * half, F.zip_with(
+            F.slice(long, F.lit(1), half), F.slice(long, half + 1, half), lambda p, q: p.bitwiseXOR(q))).otherwise(long)
+
+    both = F.zip_with(folded(x, y), folded(y, x), lambda p, q: F.bit_count(p.bitwiseXOR(q)))
+    differ = F.aggregate(both, F.lit(0), lambda total, n: total + n)
+    near = (F.least(F.size(x), F.size(y)) * 2 < F.greatest(F.size(x), F.size(y))) | (
+        differ * (den + num) <= (F.col("x.n") + F.col("y.n")) * (den - num))
+    return (pairs.join(wides.select(F.struct("n", "wide").alias("x"), F.col("node").alias("a")), "a", "left")
+            .join(wides.select(F.struct("n", "wide").alias("y"), F.col("node").alias("b")), "b", "left")
+            .where(x.isNull() | y.isNull() | near).select("a", "b"))
+
+
 def _fixed(kind) -> bool:
     """Whether all values of the type have the same few bytes."""
     return all(_fixed(f.dataType) for f in kind.fields) if isinstance(kind, StructType) else isinstance(
@@ -302,6 +333,8 @@ def linked(docs: DataFrame, width: int = 5, num: int = 80, den: int = 100) -> Da
     facts = written(classes.where("doc_id is not null and node is not null").select(
         "node", "n", *[F.col("sketch")[k].alias(w) for k, w in enumerate(words)]).dropDuplicates(["node"]).select(
         "node", "n", F.array(*words).alias("sketch")), "ngram-facts")
+    wides = written(classes.where("doc_id is not null and wide is not null").select("node", "n", "wide")
+                    .dropDuplicates(["node"]), "ngram-wide")
     links, labels, done = None, None, None
 
     def still_open() -> DataFrame:
@@ -332,7 +365,7 @@ def linked(docs: DataFrame, width: int = 5, num: int = 80, den: int = 100) -> Da
                 F.col("x.node").alias("a"), F.col("y.node").alias("b")).distinct()
         if done is not None:  # what was compared before
             pairs = pairs.join(done, ["a", "b"], "left_anti")
-        pairs = written(pairs, "ngram-pairs")
+        pairs = written(_still_possible(pairs, wides, num, den), "ngram-pairs")
         turned = pairs.unionByName(pairs.select(F.col("a").alias("b"), F.col("b").alias("a")))
         done = turned if done is None else done.unionByName(turned)
         new = _linked_of(pairs, docs, classes, width, num, den)
