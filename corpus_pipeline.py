@@ -44,13 +44,15 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
     stays.  Of several texts of one doc_id those go that link with a smaller
     doc_id or with another of its texts that stays.  Documents without words or
     without doc_id link with nothing and stay."""
-    rows = _told_apart(docs)
-    known = rows.where("doc_id is not null").dropDuplicates(["doc_id", "text_id"])
-    keyed = known.select(F.struct("doc_id", "text_id").alias("doc_id"), "text")
+    rows, own = _told_apart(docs), ["doc_id", "text_id"]
+    keyed = rows.select(F.when(F.col("doc_id").isNotNull(), F.struct(*own)).alias("doc_id"), "text")
     found = ngram_join.linked(keyed, width=5, num=80, den=100)
-    gone = found.where("component_id < doc_id").select("doc_id.*")
-    return known.join(gone, ["doc_id", "text_id"], "left_anti").select(*COLUMNS).unionByName(
-        rows.where("doc_id is null").select(*COLUMNS))
+    gone = found.where("component_id < doc_id").select("doc_id.*").distinct()
+    left = rows.join(gone, own, "left_anti")
+    # few rows are repeated as a rule, and only their texts are grouped
+    repeated = rows.where("doc_id is not null").groupBy(*own).count().where("count > 1").select(*own)
+    return left.join(repeated, own, "left_anti").select(*COLUMNS).unionByName(
+        left.join(repeated, own, "left_semi").dropDuplicates(own).select(*COLUMNS))
 
 
 def secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
