@@ -56,6 +56,9 @@ class _Space:
     def vector(self, text: str) -> np.ndarray | None:
         """The bundled trigrams at length 1; nothing for a text without letters."""
         plain = _NOT_LETTERS.sub(" ", text.lower()).strip()
+        signs = {ord(c): " " for c in set(plain) if c != " " and not c.isalpha()}  # such as ² and ½
+        if signs:
+            plain = " ".join(plain.translate(signs).split())
         if not plain:
             return None
         if len(self.rows) > MAX_TRIGRAMS:

@@ -7,6 +7,7 @@ import zlib
 import numpy as np
 import public_tokenizers
 import pytest
+from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from lodgeflow.llm import (binary_output, components, ego_join, fingerprints, language_id, license_scan, mixing,
@@ -199,6 +200,8 @@ def test_language_of_held_out_texts(spark, none):
     for k in range(120):
         assert got[k]["held_out"] == (zlib.crc32(str(k).encode()) % 4 == 2) and got[k]["lang_pred"] == rows[k][2]
     assert got[500]["lang_pred"] == got[501]["lang_pred"] == "und" and got[500]["score"] == 0
+    assert language_id.predict(frame.select("doc_id", F.lit("² ½ ① ٣ Ⅷ _ 7").alias("text")), {"en": np.ones(8)}).where(
+        "lang_pred <> 'und' or score <> 0").count() == 0
     assert language_id.identified(none).count() == 0
     nothing = language_id.identified(frame.withColumn("lang", frame["lang"].substr(9, 0)).where("doc_id = 500"))
     assert [r["lang_pred"] for r in nothing.collect()] == ["und"]
