@@ -120,16 +120,13 @@ def signatures(values: np.ndarray, num: int, den: int) -> np.ndarray:
     """Signatures of one non-empty set of hashes, for every band in which it
     may meet a similar one."""
     n = len(values)
-    table = bands(num, den, n)
-    at = len(table) - 2  # the band that holds n
+    wider = bands(num, den, den * n // num)  # those of all sets that may be similar, and one more
+    at = len(bands(num, den, n)) - 2  # the band that holds n
     out = []
     spread = mix(values + _U(0x5851F42D4C957F2D))
     content = mix(values ^ _U(0x2545F4914F6CDD1D))
-    wider = bands(num, den, table[-1][0])
-    for b in (at, at + 1):
-        low, differ = wider[b]
-        if b > at and den * n < num * low:
-            break  # too small for any set of the next band
+    for b in range(at, len(wider) - 1):
+        differ = wider[b][1]
         if not differ:
             continue
         if differ <= FEW:  # at least TAKEN of the parts agree wholly
@@ -140,10 +137,9 @@ def signatures(values: np.ndarray, num: int, den: int) -> np.ndarray:
             place = np.arange(len(chosen), dtype=np.uint64) + _U((b << 40) + (1 << 39))
             out.append(mix(total[chosen].sum(axis=1, dtype=np.uint64) + mix(place + _U(1))))
             continue
-        # parts of which at least `agree` hold at most one differing element
+        # parts of which at least one holds at most one differing element
         parts = differ // 2 + 1
-        agree = 1 + parts // 12 + (parts > 1)
-        parts += agree - 1
+        parts += parts // 12 + (parts > 1)  # one and some more
         first = (spread >> _U(20)) % _U(parts)
         cell = (first * _U(PARTS) + (spread & _U(0xFFFFF)) % _U(PARTS)).astype(np.int64)
         size = np.bincount(cell, minlength=parts * PARTS).reshape(parts, PARTS)
@@ -152,10 +148,17 @@ def signatures(values: np.ndarray, num: int, den: int) -> np.ndarray:
         part = total.sum(axis=1, keepdims=True, dtype=np.uint64) - total
         place = np.arange(parts * PARTS, dtype=np.uint64).reshape(parts, PARTS) + _U(b << 40)
         sign = mix(part + mix(place + _U(1)))
-        # an empty part says little; it is needed only where so many are empty
-        # that all agreeing parts may be
-        empty = left == 0
-        out.append(sign[~empty] if empty.any(axis=1).sum() < agree else sign.ravel())
+        # a signature of few elements, or of none, says little and fills large
+        # buckets.  Below the band's upper end fewer elements may differ, so that
+        # more first parts agree; fewer than that can do without their weakest.
+        # Two similar sets rank a signature alike, and of the parts in which
+        # they agree one at least ranks above the limits of both
+        most = min(wider[b + 1][0] - 1, den * n // num)  # the largest set it may meet here
+        sure = len(size) - (n + most) * (den - num) // (den + num) // 2
+        rank = np.empty(left.size, dtype=np.int64)
+        rank[np.lexsort((sign.ravel(), left.ravel()))] = np.arange(left.size)
+        weakest = rank.reshape(left.shape).min(axis=1)
+        out.append(sign.ravel()[rank >= np.partition(weakest, sure - 1)[sure - 1]])
     return np.concatenate(out) if out else np.zeros(0, dtype=np.uint64)
 
 

@@ -254,6 +254,28 @@ def test_similar_sets_share_a_signature():
                 assert len(np.intersect1d(one, two))
 
 
+@pytest.mark.parametrize("num", [50, 80, 90, 95])
+def test_pairs_just_similar_enough_share_a_signature(num):
+    rng = np.random.default_rng(num)
+    for n in [*range(1, 60), 90, 133, 300, 451, 1500, 4000]:
+        for k in range(12 if n < 1000 else 4):
+            x = np.unique(rng.integers(1, 2**63, n + 8).astype(np.uint64))[:n]
+            common = int(rng.integers(-(-num * n // 100), n + 1)) if k % 3 else n
+            more = common * 100 // num - n  # as many as the similarity allows
+            y = np.unique(np.concatenate([rng.choice(x, common, replace=False),
+                                          rng.integers(1, 2**63, max(0, more)).astype(np.uint64)]))
+            if 100 * common >= num * (n + len(y) - common) and not np.array_equal(x, y):
+                assert len(np.intersect1d(*(ngram_join.signatures(v, num, 100) for v in (x, y)))), (n, len(y), common)
+
+
+def test_sets_without_common_elements_share_no_signature():
+    rng = np.random.default_rng(3)
+    for low in (60, 250, 396, 900):  # each in the lower half of a band as well
+        sets = [np.unique(rng.integers(1, 2**63, low + k).astype(np.uint64)) for k in range(40)]
+        signs = np.concatenate([np.unique(ngram_join.signatures(v, 80, 100)) for v in sets])
+        assert len(np.unique(signs)) == len(signs)
+
+
 def test_quality_rules_on_held_out_rows(spark, docs, none):
     rows = [(k, _prose(k) if k % 2 else " ".join(["#$%&"] * (20 + k % 30))) for k in range(300)]
     frame = spark.createDataFrame([*rows, (900, None), (901, ""), (None, "x")], "doc_id long, text string")
