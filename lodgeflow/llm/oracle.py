@@ -118,7 +118,51 @@ SELECT part, filter_order, step, kept, removed, redundant, unique_fails, good_lo
 FROM counted
 """
 
+# all pairs of vectors; every vector reaches its group by links
+_EGO_JOIN = r"""
+WITH RECURSIVE vectors AS (
+  SELECT vec_id, list_transform(embedding, lambda e: e::DOUBLE) AS x FROM embeddings),
+able AS (
+  SELECT vec_id, x FROM vectors
+  WHERE len(x) > 0 AND len(list_filter(x, lambda e: e IS NULL OR NOT isfinite(e))) = 0
+    AND len(list_filter(x, lambda e: e <> 0)) > 0),
+links AS (
+  SELECT a.vec_id AS a, b.vec_id AS b FROM able a JOIN able b ON a.vec_id <> b.vec_id
+  WHERE list_cosine_similarity(a.x, b.x) >= 0.95),
+reached AS (
+  SELECT vec_id AS a, vec_id AS b FROM vectors
+  UNION
+  SELECT r.a, l.b FROM reached r JOIN links l ON l.a = r.b),
+degrees AS (SELECT a, count(*) AS n FROM links GROUP BY a)
+SELECT r.a AS vec_id, coalesce(max(n), 0)::BIGINT AS n_links, min(r.b) AS component_id, min(r.b) = r.a AS kept
+FROM reached r LEFT JOIN degrees d ON d.a = r.a GROUP BY r.a
+"""
+
+# words hold no blanks, so shingles joined by one are equal only if their words are
+_NGRAM_JOIN = rf"""
+WITH RECURSIVE words AS (
+  SELECT doc_id, regexp_extract_all({_LOWER.format("coalesce(text, '')")}, '[^\x20\x09-\x0D]+') AS w FROM documents),
+sets AS (
+  SELECT doc_id, list_distinct(CASE WHEN len(w) = 0 THEN CAST([] AS VARCHAR[])
+    WHEN len(w) < 3 THEN [array_to_string(w, ' ')]
+    ELSE list_transform(range(1, len(w) - 1), lambda i: w[i] || ' ' || w[i + 1] || ' ' || w[i + 2]) END) AS s
+  FROM words),
+shingles AS (SELECT doc_id, len(s) AS n, unnest(s) AS shingle FROM sets),
+links AS (
+  SELECT a.doc_id AS a, b.doc_id AS b FROM shingles a JOIN shingles b
+    ON a.shingle = b.shingle AND a.doc_id <> b.doc_id AND 100 * least(a.n, b.n) >= 90 * greatest(a.n, b.n)
+  GROUP BY a.doc_id, b.doc_id, a.n, b.n HAVING 100 * count(*) >= 90 * (a.n + b.n - count(*))),
+reached AS (
+  SELECT doc_id AS a, doc_id AS b FROM sets
+  UNION
+  SELECT r.a, l.b FROM reached r JOIN links l ON l.a = r.b)
+SELECT doc_id, len(s)::BIGINT AS n_shingles, component_id
+FROM sets JOIN (SELECT a, min(b) AS component_id FROM reached GROUP BY a) ON a = doc_id
+"""
+
 ORACLE_SQL: dict[str, str] = {
+    "op4_ego_join": _EGO_JOIN,
+    "op8_ngram_join": _NGRAM_JOIN,
     "op11_importance_resampling": _IMPORTANCE,
     "op12_line_dedup": _LINE_DEDUP,
     "op13_filter_audit": _FILTER_AUDIT,
