@@ -21,8 +21,13 @@ from lodgeflow.llm.shared import written
 
 #: Labelled rows (about) from which the classifier learns.
 TRAIN_ROWS = 20_000
-#: Telling words that it keeps.
-LEXICON = 300
+#: Telling words that it keeps, and the share of them that may tell by chance.
+LEXICON = 1000
+FALSE_WORDS = 0.01
+#: How much a telling word raises the odds of a domain, at least.
+LIFT = 4.0
+BINS = 400
+BIN_WIDTH = 0.25
 _BETWEEN = r"[^\p{L}]+"
 
 
@@ -45,35 +50,66 @@ def _features(docs: DataFrame, *more: str) -> DataFrame:
         "doc_id", "row", *more, "tokens", F.lower("feature").alias("feature"), (F.col("place") == 0).alias("head"))
 
 
+def _telling(counts: DataFrame, tests: int, rate: float) -> float:
+    """The least ``lead`` that still tells at this rate of false discoveries,
+    by the step-up procedure on a histogram with a fixed number of bins."""
+    bins = counts.groupBy(F.least(F.floor(F.col("lead") / BIN_WIDTH), F.lit(BINS)).alias("bin")).count().collect()
+    limit, reached = float("inf"), 0
+    for b, n in sorted(((int(r["bin"]), r["count"]) for r in bins), reverse=True):
+        reached += n
+        if np.exp(-b * BIN_WIDTH) * tests <= rate * reached:
+            limit = b * BIN_WIDTH
+    return limit
+
+
 def lexicon(docs: DataFrame, labelled: DataFrame, domains: list[str], bound: int = TRAIN_ROWS,
-            size: int = LEXICON) -> tuple[DataFrame, list[float]]:
+            size: int = LEXICON, rate: float = FALSE_WORDS, lift: float = LIFT) -> tuple[DataFrame, list[float]]:
     """Telling words with one weight per domain (what their presence adds to the
     log-likelihood), written once, and each domain's log-likelihood of a text
-    without any.  Learned from about ``bound`` labelled rows, by a hash
-    of the id, when there are more."""
+    without any.
+
+    Learned from about ``bound`` labelled rows, an equal part of them for each
+    domain, by a hash of the id, when there are more.  A word tells when more of
+    its texts belong to a domain than chance explains; the chance is bounded by
+    Chernoff's inequality, exp(-texts x divergence of the shares), and among all
+    words and domains a share ``rate`` of those kept may be false.  It also
+    raises the odds of that domain ``lift`` times or more, so that common words
+    with a slight preference stay out, however many labels there are."""
     known = labelled.select("doc_id", "domain").where(F.col("doc_id").isNotNull() & F.col("domain").isin(domains))
     totals = {r["domain"]: r["count"] for r in known.groupBy("domain").count().collect()}
     place = F.pmod(F.xxhash64("doc_id", F.lit("mixing")), F.lit(1_000_000)) / 1_000_000
-    sample = known.where(place < min(1.0, bound / max(1, sum(totals.values()))))
+    part = F.lit(0.0)
+    for d in domains:
+        part = F.when(F.col("domain") == d, min(1.0, bound / len(domains) / max(1, totals.get(d, 0)))).otherwise(part)
     # about `bound` rows at most; copies of a text would make its words look telling
-    rows = docs.select("doc_id", "text").join(F.broadcast(sample), "doc_id").dropDuplicates(["text", "domain"])
+    rows = docs.select("doc_id", "text").join(F.broadcast(known.where(place < part)), "doc_id").dropDuplicates(
+        ["text", "domain"])
     seen = _features(rows, "domain").groupBy("row", "domain", "feature").agg(F.lit(1).alias("one"))
     n = {r["domain"]: r["count"] for r in rows.groupBy("domain").count().collect()}
     n = [n.get(d, 0) for d in domains]
-    counts = seen.groupBy("feature").agg(*[F.count_if(F.col("domain") == d).alias(f"n{k}") for k, d in enumerate(domains)])
-    whole = sum((F.col(f"n{k}") for k in range(len(domains))), F.lit(0))
-    p = (whole + 1) / (sum(n) + 2)
-    lead = F.greatest(*[(F.col(f"n{k}") - p * n[k]) / F.sqrt(p * (1 - p) * n[k] + 1) for k in range(len(domains))],
-                      F.lit(0.0))
+    k = range(len(domains))
+    counts = seen.groupBy("feature").agg(*[F.count_if(F.col("domain") == d).alias(f"n{i}") for i, d in enumerate(domains)])
+    whole = sum((F.col(f"n{i}") for i in k), F.lit(0))
+
+    def lead(i: int) -> Column:
+        usual, own = n[i] / max(1, sum(n)), F.col(f"n{i}") / whole
+        if not 0 < usual < 1:
+            return F.lit(0.0)
+        others = F.when(own < 1, (1 - own) * F.log((1 - own) / (1 - usual))).otherwise(0.0)
+        return F.when(own * (1 - usual) >= lift * usual * (1 - own), whole * (own * F.log(own / usual) + others)).otherwise(0.0)
+
+    counts = written(counts.withColumn("lead", F.greatest(*[lead(i) for i in k], F.lit(0.0))), "mixing-counts")
+    limit = _telling(counts, counts.count() * len(domains), rate)
     # smoothed towards the word's use over all domains
-    use = lambda k: (F.col(f"n{k}") + 2 * p) / (n[k] + 2)
-    top = (counts.withColumn("lead", lead).where("lead > 7").orderBy(F.desc("lead"), "feature").limit(size)
-           .select("feature", *[F.log(use(k) / (1 - use(k))).alias(f"w{k}") for k in range(len(domains))],
-                   *[F.log(1 - use(k)).alias(f"a{k}") for k in range(len(domains))]))
+    p = (whole + 1) / (sum(n) + 2)
+    use = lambda i: (F.col(f"n{i}") + 2 * p) / (n[i] + 2)
+    top = (counts.where(F.col("lead") >= limit).orderBy(F.desc("lead"), "feature").limit(size)
+           .select("feature", *[F.log(use(i) / (1 - use(i))).alias(f"w{i}") for i in k],
+                   *[F.log(1 - use(i)).alias(f"a{i}") for i in k]))
     table = written(top, "mixing-words")
-    absent = table.agg(*[F.sum(f"a{k}") for k in range(len(domains))]).head()
+    absent = table.agg(*[F.sum(f"a{i}") for i in k]).head()
     prior = [float(np.log((totals.get(d, 0) + 1) / (sum(totals.values()) + len(domains)))) for d in domains]
-    return table.select("feature", *[f"w{k}" for k in range(len(domains))]), [x + (a or 0.0) for x, a in zip(prior, absent)]
+    return table.select("feature", *[f"w{i}" for i in k]), [x + (a or 0.0) for x, a in zip(prior, absent)]
 
 
 def posteriors(docs: DataFrame, labelled: DataFrame, domains: list[str], carry: Sequence[str] = ()) -> DataFrame:
