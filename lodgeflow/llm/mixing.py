@@ -129,16 +129,53 @@ def posteriors(docs: DataFrame, labelled: DataFrame, domains: list[str], carry:
                    "mixing-posteriors")
 
 
+def _descended(members: DataFrame, off: np.ndarray, loose: float, passes: int) -> np.ndarray:
+    """Projected gradient on the rates of ``members`` (all 1 at first, when the
+    domains are ``off`` their targets by so many tokens): the domains' distances
+    from their targets at the end, over ``loose``.
+
+    Minimised are the squared distances over ``loose`` and, weighted with
+    tokens, the rates' squared distances from 1, halved."""
+    k = range(len(off))
+    inner = lambda point: sum((F.col(f"p{i}") * float(point[i]) for i in k), F.lit(0.0))
+    got = members.agg(*[F.sum(F.col("tokens") * F.col(f"p{i}") * F.col(f"p{j}")) for i in k for j in k]).head()
+    both = np.array([x or 0.0 for x in got]).reshape(len(off), len(off))
+    least = loose / (loose + float(np.linalg.eigvalsh(both)[-1]))  # the step that always leads down
+    rates, step = members.withColumn("rate", F.lit(1.0)), least
+    for turn in range(passes):
+        target = F.greatest(F.lit(0.0), F.col("rate") - step * (inner(off / loose) + F.col("rate") - 1))
+        moved = rates.withColumn("move", target - F.col("rate"))
+        part = F.col("tokens") * F.col("move")
+        got = moved.agg(F.sum(part * F.col("move")), F.sum(part * (F.col("rate") - 1)),
+                        *[F.sum(part * F.col(f"p{i}")) for i in k]).head()
+        size, back, *shift = (float(x or 0.0) for x in got)
+        shift = np.array(shift)
+        bend = size + shift @ shift / loose
+        if size <= 1e-18 * max(1.0, float(both.sum())):
+            break
+        share = min(1.0, -(off @ shift / loose + back) / bend)  # the lowest point on the way
+        rates = moved.withColumn("rate", F.col("rate") + share * F.col("move")).drop("move")
+        off = off + share * shift
+        # the next step's length by the change of the gradient along this one
+        change = shift @ both @ shift / loose ** 2 + 2 * (shift @ shift) / loose + size
+        step = float(np.clip(size / bend if turn % 2 else bend / change, least, 1.0))
+    return off / loose
+
+
 def fit_rates(members: DataFrame, domains: list[str], weights: dict[str, float], headroom: float = 1.0,
-              slack: float = 1e-4, steps: int = 20, close: float = 1e-6) -> tuple[Column, dict]:
-    """The rate as a column over ``p0, p1, ...`` and a report.
+              slack: float = 1e-4, steps: int = 20, close: float = 1e-6, passes: int = 12) -> tuple[Column, dict]:
+    """The rate as a column over ``p0, p1, ...`` and a report: ``error`` after
+    the descent of at most ``passes`` steps, and after each further step.
 
     ``weights`` are the domains' shares of all tokens; ``slack`` weighs rates
     near 1 against targets that can't be met (those that can are met to about
     this share).  The corpus is aimed at
     the largest size at which no domain has to be repeated, times
-    ``headroom``.  The driver sees one row of sums per step."""
+    ``headroom``.  The driver sees one row of sums per step.  Documents of equal
+    posteriors have equal rates, so their tokens are summed up front."""
     k = range(len(domains))
+    each = [f"p{i}" for i in k]
+    members = written(members.groupBy(*each).agg(F.sum("tokens").cast("double").alias("tokens")), "mixing-masses")
     total = sum(weights.get(d, 0.0) for d in domains) or 1.0
     share = np.array([weights.get(d, 0.0) / total for d in domains])
     held = np.array([x or 0.0 for x in members.agg(*[F.sum(F.col("tokens") * F.col(f"p{i}")) for i in k]).head()])
@@ -161,7 +198,7 @@ def fit_rates(members: DataFrame, domains: list[str], weights: dict[str, float],
                 got[1 + n:].reshape(n, n) + loose * np.eye(n))
 
     report = {"held": held.tolist(), "target": target.tolist(), "error": []}
-    point, length = np.zeros(n), 1.0
+    point, length = _descended(members, held - target, loose, passes), 1.0
     value, slope, curve = sums_at(point)
     for _ in range(steps):
         report["error"].append(float(np.abs(slope).sum() / max(1.0, target.sum())))
