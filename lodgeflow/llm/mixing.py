@@ -22,10 +22,10 @@ from lodgeflow.llm.shared import written
 #: Labelled rows (about) from which the classifier learns.
 TRAIN_ROWS = 20_000
 #: Telling words that it keeps, and the share of them that may tell by chance.
-LEXICON = 1000
+LEXICON = 100
 FALSE_WORDS = 0.01
 #: How much a telling word raises the odds of a domain, at least.
-LIFT = 4.0
+LIFT = 20.0
 BINS = 400
 BIN_WIDTH = 0.25
 _BETWEEN = r"[^\p{L}]+"
