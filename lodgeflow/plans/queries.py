@@ -32,7 +32,7 @@ from lodgeflow.plans.quality import read_report, validate_and_publish
 from lodgeflow.plans.run_order import run_all_stages
 from lodgeflow.plans.silver import (bronze_to_silver, filter_valid, run_bronze_to_silver, silver_metrics, standardize,
                                     stream_to_silver, write_silver)
-from lodgeflow.session import shared_database, shared_dir
+from lodgeflow.session import shared_database, shared_dir, small_methods
 from lodgeflow.sinks.tables import overwrite
 from lodgeflow.sources.api import (CURRENCY_SCHEMA, WEATHER_SCHEMA, currency_rows, read_payloads,
                                    weather_rows)
@@ -407,8 +407,9 @@ def q_stream_job(spark: SparkSession, sf_dir: str) -> DataFrame:
     rates, weather = live_values(spark, sf_dir)
     overwrite(rates, f"{db}.raw_currency_api")
     overwrite(weather, f"{db}.raw_weather_api")
-    for half in ("a", "b"):
-        raw.repartition(4, "booking_id").write.json(f"{base}/landing/{half}")
+    with small_methods(spark):
+        for half in ("a", "b"):
+            raw.repartition(4, "booking_id").write.json(f"{base}/landing/{half}")
     ingest_events(spark, f"{base}/landing/*", stream, f"{base}/_ckpt_raw", schema=raw.schema, max_files_per_trigger=3)
     stream_to_silver(read_table_stream(spark, stream, max_files_per_trigger=3), silver, f"{base}/_ckpt",
                      rate_table_loader=lambda: spark.read.table(f"{db}.raw_currency_api"),
@@ -424,8 +425,9 @@ def q_run_order_twice(spark: SparkSession, sf_dir: str) -> DataFrame:
     db, base = shared_database(spark, "run_order"), shared_dir(spark, "run_order")
     raw = dirty_bookings(spark, sf_dir).withColumns({"checkin_date": F.col("booking_date"),
                                                      "checkout_date": F.col("booking_date")})
-    raw.where(F.trim("room_type") != "P").write.option("header", "true").option("escape", '"').csv(f"{base}/batch")
-    raw.write.json(f"{base}/events")
+    with small_methods(spark):
+        raw.where(F.trim("room_type") != "P").write.option("header", "true").option("escape", '"').csv(f"{base}/batch")
+        raw.write.json(f"{base}/events")
     e = _events(spark, sf_dir).agg(F.max_by("value", "ts").alias("value"))
     e.select(F.struct(F.col("value").alias("temperature")).alias("current_weather")).write.json(f"{base}/weather")
     e.select(F.lit("EUR").alias("base"), F.create_map(F.lit("USD"), F.col("value")).alias("rates")).write.json(

@@ -22,10 +22,12 @@ from lodgeflow.functions import percent, percent_of
 from lodgeflow.operators.lookup import lookup_constant
 from lodgeflow.operators.rules import (apply_business_rules, business_rule, drop_null_keys,
                                        null_key_predicate)
-from lodgeflow.session import is_path
+from lodgeflow.session import is_path, small_methods
 from lodgeflow.sinks.tables import key_bloom_options, overwrite
 from lodgeflow.streaming.upsert import LOAD_COL, read_target, run_upsert
 
+_NULL_KEY, _HOLDS = "__lodgeflow_null_key", "__lodgeflow_holds"
+
 
 def standardize(df: DataFrame, language_map: Mapping[str, str] = K.LANGUAGE_BY_COUNTRY,
                 keep_language: bool = False) -> DataFrame:
@@ -131,26 +133,29 @@ def run_bronze_to_silver(raw: DataFrame, target: str, key: str = K.BOOKING_KEY,
     (MET-1 de-duplication, MET-2 look-up coverage, MET-3 filter loss, MET-5
     enrichment status)
     collected by ``observe`` while the rows stream through the write: no
-    extra scan or shuffle.  (Observed counts come from successful task
+    extra scan or shuffle.  The key and rule tests are columns, computed once
+    per row in the projection; the observed counts, which are interpreted row
+    by row, and the filter only read them.  (Observed counts come from successful task
     attempts, so a retried task counts once; only a finished stage that is
     recomputed after its shuffle output was lost could count twice, so
     ``silver_metrics`` is the exact, separate report.)"""
-    o_raw, o_dedup, o_clean = Observation("raw"), Observation("dedup"), Observation("clean")
+    o_raw, o_clean = Observation("raw"), Observation("clean")
     df = raw.observe(o_raw, F.count(F.lit(1)).alias("rows"))
-    df = dedup_by_key(df, key, dedup_order).observe(o_dedup, F.count(F.lit(1)).alias("rows"))
-    df = standardize(df, language_map, keep_language)
-    nk = null_key_predicate(list(id_cols))
-    rule = business_rule(truncate_numeric=truncate_numeric)
+    # row by row after the de-duplication: its rows are counted with the rest
+    df = standardize(dedup_by_key(df, key, dedup_order), language_map, keep_language)
+    df = df.withColumns({_NULL_KEY: null_key_predicate(list(id_cols)),
+                         _HOLDS: F.coalesce(business_rule(truncate_numeric=truncate_numeric), F.lit(False))})
     lang = (F.count(F.col("language_preference")) if "language_preference" in df.columns
             else F.lit(0).cast("long"))
     df = df.observe(o_clean, F.count(F.lit(1)).alias("rows"), lang.alias("filled"),
-                    F.count_if(nk).alias("null_keys"),
-                    F.count_if(~nk & F.coalesce(rule, F.lit(False))).alias("kept"))
-    df = filter_valid(df, truncate_numeric)
+                    F.count_if(_NULL_KEY).alias("null_keys"),
+                    F.count_if(~F.col(_NULL_KEY) & F.col(_HOLDS)).alias("kept"))
+    df = drop_null_keys(df).filter(_HOLDS).drop(_NULL_KEY, _HOLDS)
     values = enrichment_values(rate_table, rate_col, weather_table)
-    write_silver(enrich(df, values=values), target, keys=[key])
-    before, after = o_raw.get["rows"], o_dedup.get["rows"]
+    with small_methods(df.sparkSession):
+        write_silver(enrich(df, values=values), target, keys=[key])
     c = o_clean.get
+    before, after = o_raw.get["rows"], c["rows"]
     return {
         "dedup": {"rows_before": before, "rows_removed": before - after, "rows_after": after,
                   "removed_pct": percent_of(before - after, before)},
@@ -182,4 +187,5 @@ def stream_to_silver(stream: DataFrame, target: str, checkpoint: str, key: str =
         weather = weather_table_loader() if weather_table_loader else None
         return enrich(batch, rate_table=rates, weather_table=weather)
 
-    run_upsert(cleaned, target, checkpoint, key, per_batch, dedup_order, batch_sql=batch_sql)
+    with small_methods(stream.sparkSession):
+        run_upsert(cleaned, target, checkpoint, key, per_batch, dedup_order, batch_sql=batch_sql)

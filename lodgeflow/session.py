@@ -13,6 +13,8 @@ import os
 import re
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import SparkSession
 
@@ -76,6 +78,23 @@ def get_session(master: str | None = None, app_name: str = "lodgeflow",
     return spark
 
 
+@contextmanager
+def small_methods(spark: SparkSession) -> Iterator[None]:
+    """Run (or start, if a stream) what is inside without whole-stage codegen.
+
+    The clean-up of a booking is one projection of some twenty text expressions.
+    Whole-stage codegen puts it into a single method that is larger than the JVM
+    compiles (8,000 bytes), so it runs interpreted; a plain projection is
+    generated as many small methods.  The session's own setting is put back."""
+    key = "spark.sql.codegen.wholeStage"
+    before = spark.conf.get(key)
+    spark.conf.set(key, "false")
+    try:
+        yield
+    finally:
+        spark.conf.set(key, before)
+
+
 def is_path(target: str) -> bool:
     """A folder or URI (``/lake/t``, ``s3a://b/t``) rather than a catalog
     table name (``db.table``)."""
