@@ -23,6 +23,9 @@ JSON_TIMESTAMP_OPTIONS = {
     "timestampNTZFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSS",
 }
 
+#: Row groups of the raw table: small, as its files are few and large.
+RAW_ROW_GROUP_BYTES = 16 * 1024 * 1024
+
 
 def read_event_stream(spark: SparkSession, path: str, schema: StructType = RAW_BOOKING_SCHEMA,
                       fmt: str = "json", max_files_per_trigger: int | None = None,
@@ -49,9 +52,18 @@ def read_event_stream(spark: SparkSession, path: str, schema: StructType = RAW_B
 
 
 def start_raw_ingest(stream: DataFrame, target: str, checkpoint: str,
-                     available_now: bool = True, fmt: str = "parquet") -> StreamingQuery:
+                     available_now: bool = True, fmt: str = "parquet",
+                     files_per_batch: int | None = None) -> StreamingQuery:
+    """Append the stream to ``target``.  ``files_per_batch`` bounds the files
+    that a micro-batch leaves there (no shuffle): without it large landed files
+    become a file per input split, and a reader that takes so many files a
+    trigger makes more micro-batches as the input grows."""
+    if files_per_batch:
+        stream = stream.coalesce(files_per_batch)
     w = (stream.writeStream.format(fmt).outputMode("append")
          .option("checkpointLocation", checkpoint))
+    if fmt == "parquet":  # so that all cores read what one trigger takes
+        w = w.option("parquet.block.size", str(RAW_ROW_GROUP_BYTES))
     w = w.trigger(availableNow=True) if available_now else w
     # a name is a table of the catalog, created on first use; a path is a folder
     return w.start(target) if is_path(target) else w.toTable(target)
@@ -60,9 +72,14 @@ def start_raw_ingest(stream: DataFrame, target: str, checkpoint: str,
 def ingest_events(spark: SparkSession, source: str, target: str, checkpoint: str,
                   schema: StructType = RAW_BOOKING_SCHEMA, fmt: str = "json",
                   max_files_per_trigger: int | None = None) -> None:
-    """Drain everything landed so far into the raw table, then stop."""
+    """Drain everything landed so far into the raw table, then stop.  A
+    micro-batch leaves at most a file per core."""
+    try:
+        cores = spark.sparkContext.defaultParallelism
+    except Exception:  # remote session
+        cores = None
     q = start_raw_ingest(read_event_stream(spark, source, schema, fmt, max_files_per_trigger),
-                         target, checkpoint)
+                         target, checkpoint, files_per_batch=cores)
     q.awaitTermination()
 
 

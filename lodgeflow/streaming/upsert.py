@@ -120,6 +120,8 @@ def insert_new_rows(batch: DataFrame, target: str, keys: str | Sequence[str], lo
     try:
         current = read_target(spark, target)
         if current is not None:
+            if fresh.count() == 0:  # a replay, say: no need to read the target
+                return
             others = current.where(F.col(LOAD_COL) != F.lit(load_id))
             hit = known_keys(others, fresh, keys, prune_by_key_range)
             out = align_to(fresh.join(hit, keys, "left_anti"), current)

@@ -1,6 +1,12 @@
+import glob
 import os
 
+from pyspark.sql import functions as F
+
 from lodgeflow.plans import silver
+from lodgeflow.streaming import upsert
+from lodgeflow.streaming.ingest import ingest_events
+from lodgeflow.streaming.upsert import insert_new_rows
 
 from conftest import booking_row
 
@@ -43,3 +49,34 @@ def test_stream_job_cleans_in_small_methods(spark, tmp_dir, bookings, monkeypatc
     raw.write.parquet(src)
     silver.stream_to_silver(spark.readStream.schema(raw.schema).parquet(src), os.path.join(tmp_dir, "t"), tmp_dir)
     assert seen == ["false"] and spark.conf.get(WHOLE_STAGE) == before
+
+
+def test_large_landed_files_leave_a_file_per_core(spark, tmp_dir):
+    rows = spark.range(0, 20000, 1, 1).select(F.col("id").cast("string").alias("k"), F.sha2(F.col("id").cast("string"), 256).alias("v"))
+    src, target = os.path.join(tmp_dir, "landing"), os.path.join(tmp_dir, "raw")
+    rows.write.json(src)
+    conf = {"spark.sql.files.maxPartitionBytes": "64k", "spark.sql.files.openCostInBytes": "0"}
+    before = {k: spark.conf.get(k) for k in conf}
+    try:
+        for k, v in conf.items():
+            spark.conf.set(k, v)
+        assert spark.read.schema(rows.schema).json(src).rdd.getNumPartitions() > 20
+        ingest_events(spark, src, target, os.path.join(tmp_dir, "ck"), schema=rows.schema, max_files_per_trigger=3)
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+    assert len(glob.glob(f"{target}/part-*.parquet")) <= spark.sparkContext.defaultParallelism
+    got = spark.read.parquet(target)
+    assert got.count() == 20000 and got.exceptAll(rows).isEmpty()
+
+
+def test_a_batch_without_new_rows_does_not_read_the_target(spark, tmp_dir, monkeypatch):
+    target, calls = os.path.join(tmp_dir, "t"), []
+    real = upsert.known_keys
+    monkeypatch.setattr(upsert, "known_keys", lambda *a, **kw: calls.append(1) or real(*a, **kw))
+    one = spark.createDataFrame([("a", 1)], "k string, v int")
+    insert_new_rows(one, target, "k", "s-0")
+    insert_new_rows(one.limit(0), target, "k", "s-1")
+    assert not calls
+    insert_new_rows(spark.createDataFrame([("a", 2), ("b", 3), (None, 4)], "k string, v int"), target, "k", "s-2")
+    assert calls and sorted((r["k"] or "", r["v"]) for r in spark.read.parquet(target).collect()) == [("", 4), ("a", 1), ("b", 3)]
