@@ -32,7 +32,7 @@ from lodgeflow.plans.quality import read_report, validate_and_publish
 from lodgeflow.plans.run_order import run_all_stages
 from lodgeflow.plans.silver import (bronze_to_silver, filter_valid, run_bronze_to_silver, silver_metrics, standardize,
                                     stream_to_silver, write_silver)
-from lodgeflow.session import shared_database, shared_dir, small_methods
+from lodgeflow.session import drop_shuffles, shared_database, shared_dir, small_methods
 from lodgeflow.sinks.tables import overwrite
 from lodgeflow.sources.api import (CURRENCY_SCHEMA, WEATHER_SCHEMA, currency_rows, read_payloads,
                                    weather_rows)
@@ -79,8 +79,11 @@ def lineitem_silver(spark: SparkSession, sf_dir: str) -> DataFrame:
     return filter_valid(standardize(lineitem_bookings(spark, sf_dir)))
 
 
-def order_bookings(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Raw (all-text) bookings: one per order, customer and nation joined."""
+def order_bookings(spark: SparkSession, sf_dir: str, parts: int | None = None) -> DataFrame:
+    """Raw (all-text) bookings: one per order, customer and nation joined.
+
+    ``parts`` deals them by ``booking_id`` to as many partitions, before the
+    text is made, so that the narrow columns of the tables are shuffled."""
     orders = table(spark, sf_dir, "orders")
     cust = table(spark, sf_dir, "customer")
     nation = table(spark, sf_dir, "nation")
@@ -88,6 +91,8 @@ def order_bookings(spark: SparkSession, sf_dir: str) -> DataFrame:
     j = orders.join(cn, F.col("o_custkey") == F.col("c_custkey"), "inner")
     okey = F.col("o_orderkey")
     s = lambda c: F.col(c).cast("string")
+    if parts:
+        j = j.repartition(parts, s("o_orderkey"))
     return j.select(
         s("o_orderkey").alias("booking_id"),
         F.when(okey % 19 == 0, F.lit(None).cast("string"))
@@ -126,9 +131,9 @@ def text_star(key, plain):
     return out.otherwise(plain)
 
 
-def dirty_bookings(spark: SparkSession, sf_dir: str) -> DataFrame:
+def dirty_bookings(spark: SparkSession, sf_dir: str, parts: int | None = None) -> DataFrame:
     """``order_bookings`` with such star ratings, and prices below 1."""
-    raw, key = order_bookings(spark, sf_dir), F.col("booking_id").cast("long")
+    raw, key = order_bookings(spark, sf_dir, parts), F.col("booking_id").cast("long")
     return raw.withColumns({"star_rating": text_star(key, F.col("star_rating")),
                             "total_price": F.when(key % 31 == 0, F.lit("0.99")).otherwise(F.col("total_price"))})
 
@@ -407,9 +412,10 @@ def q_stream_job(spark: SparkSession, sf_dir: str) -> DataFrame:
     rates, weather = live_values(spark, sf_dir)
     overwrite(rates, f"{db}.raw_currency_api")
     overwrite(weather, f"{db}.raw_weather_api")
-    with small_methods(spark):
+    with small_methods(spark), drop_shuffles(spark):
         for half in ("a", "b"):
-            raw.repartition(4, "booking_id").write.json(f"{base}/landing/{half}")
+            # most of the job's disk: as plain text six times the bytes
+            dirty_bookings(spark, sf_dir, parts=4).write.option("compression", "lz4").json(f"{base}/landing/{half}")
     ingest_events(spark, f"{base}/landing/*", stream, f"{base}/_ckpt_raw", schema=raw.schema, max_files_per_trigger=3)
     stream_to_silver(read_table_stream(spark, stream, max_files_per_trigger=3), silver, f"{base}/_ckpt",
                      rate_table_loader=lambda: spark.read.table(f"{db}.raw_currency_api"),

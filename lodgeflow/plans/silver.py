@@ -22,7 +22,7 @@ from lodgeflow.functions import percent, percent_of
 from lodgeflow.operators.lookup import lookup_constant
 from lodgeflow.operators.rules import (apply_business_rules, business_rule, drop_null_keys,
                                        null_key_predicate)
-from lodgeflow.session import is_path, small_methods
+from lodgeflow.session import drop_shuffles, is_path, small_methods
 from lodgeflow.sinks.tables import key_bloom_options, overwrite
 from lodgeflow.streaming.upsert import LOAD_COL, read_target, run_upsert
 
@@ -152,7 +152,7 @@ def run_bronze_to_silver(raw: DataFrame, target: str, key: str = K.BOOKING_KEY,
                     F.count_if(~F.col(_NULL_KEY) & F.col(_HOLDS)).alias("kept"))
     df = drop_null_keys(df).filter(_HOLDS).drop(_NULL_KEY, _HOLDS)
     values = enrichment_values(rate_table, rate_col, weather_table)
-    with small_methods(df.sparkSession):
+    with small_methods(df.sparkSession), drop_shuffles(df.sparkSession):
         write_silver(enrich(df, values=values), target, keys=[key])
     c = o_clean.get
     before, after = o_raw.get["rows"], c["rows"]
@@ -187,5 +187,5 @@ def stream_to_silver(stream: DataFrame, target: str, checkpoint: str, key: str =
         weather = weather_table_loader() if weather_table_loader else None
         return enrich(batch, rate_table=rates, weather_table=weather)
 
-    with small_methods(stream.sparkSession):
+    with small_methods(stream.sparkSession), drop_shuffles(stream.sparkSession):
         run_upsert(cleaned, target, checkpoint, key, per_batch, dedup_order, batch_sql=batch_sql)

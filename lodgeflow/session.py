@@ -78,6 +78,17 @@ def get_session(master: str | None = None, app_name: str = "lodgeflow",
     return spark
 
 
+@contextmanager
+def setting(spark: SparkSession, key: str, value: str) -> Iterator[None]:
+    """Run what is inside with ``key`` set in the session, whose own setting is put back."""
+    before = spark.conf.get(key, None)
+    spark.conf.set(key, value)
+    try:
+        yield
+    finally:
+        spark.conf.unset(key) if before is None else spark.conf.set(key, before)
+
+
 @contextmanager
 def small_methods(spark: SparkSession) -> Iterator[None]:
     """Run (or start, if a stream) what is inside without whole-stage codegen.
@@ -86,13 +97,21 @@ def small_methods(spark: SparkSession) -> Iterator[None]:
     Whole-stage codegen puts it into a single method that is larger than the JVM
     compiles (8,000 bytes), so it runs interpreted; a plain projection is
     generated as many small methods.  The session's own setting is put back."""
-    key = "spark.sql.codegen.wholeStage"
-    before = spark.conf.get(key)
-    spark.conf.set(key, "false")
-    try:
+    with setting(spark, "spark.sql.codegen.wholeStage", "false"):
+        yield
+
+
+@contextmanager
+def drop_shuffles(spark: SparkSession) -> Iterator[None]:
+    """Run (or start, if a stream) what is inside with each job's shuffle files
+    deleted as soon as the job ends.
+
+    Else they lie on disk until the driver's JVM happens to collect the plan, so
+    those of several large jobs add up.  A write reads its shuffles once; an
+    action that is run again on the same plan would have to make them anew.  The
+    session's own setting is put back."""
+    with setting(spark, "spark.sql.classic.shuffleDependency.fileCleanup.enabled", "true"):
         yield
-    finally:
-        spark.conf.set(key, before)
 
 
 def is_path(target: str) -> bool:

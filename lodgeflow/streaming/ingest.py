@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import StructType
 
-from lodgeflow.session import is_path
+from lodgeflow.session import is_path, setting
 from lodgeflow.sources.files import RAW_BOOKING_SCHEMA
 
 # Lossless text form of timestamps in landed JSON (the default keeps only
@@ -62,11 +62,12 @@ def start_raw_ingest(stream: DataFrame, target: str, checkpoint: str,
         stream = stream.coalesce(files_per_batch)
     w = (stream.writeStream.format(fmt).outputMode("append")
          .option("checkpointLocation", checkpoint))
-    if fmt == "parquet":  # so that all cores read what one trigger takes
-        w = w.option("parquet.block.size", str(RAW_ROW_GROUP_BYTES))
     w = w.trigger(availableNow=True) if available_now else w
-    # a name is a table of the catalog, created on first use; a path is a folder
-    return w.start(target) if is_path(target) else w.toTable(target)
+    # row groups by which all cores read what one trigger takes; the file sink
+    # hears of them from the session at its start, not from the writer's options
+    with setting(stream.sparkSession, "parquet.block.size", str(RAW_ROW_GROUP_BYTES)):
+        # a name is a table of the catalog, created on first use; a path is a folder
+        return w.start(target) if is_path(target) else w.toTable(target)
 
 
 def ingest_events(spark: SparkSession, source: str, target: str, checkpoint: str,
